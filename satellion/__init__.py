@@ -1,0 +1 @@
+"""A DataFrame engine for tandem-repeat variation in sequencing data."""
