@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from satellion.functions.shipping import ship
 from satellion.llm import webp
 
 WIDTH = 64
@@ -47,6 +48,7 @@ def feature(pixels: np.ndarray) -> str:
 
 def media_features(documents: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, media) of each row; media is the stored form."""
+    ship(documents.sparkSession)
 
     def run(parts):
         for pdf in parts:

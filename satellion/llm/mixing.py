@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from satellion.functions.shipping import ship
 from satellion.llm.common import WORD, store
 
 #: Documents a cell, about.
@@ -93,6 +94,7 @@ def mix_sources(documents: DataFrame, seed: int = 17, most: int = 3, cell: int =
     Sizes are words; null texts have 0, and an empty source takes nothing. Repeated rows count one by one. The
     sources' totals go to the driver, one row a source: sources are named kinds, a few thousand at most.
     """
+    ship(documents.sparkSession)
     plain = documents.drop("size", "source_size", "target", "taken", "p", "whole", "cell")
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     sized = plain.withColumn("size", size)

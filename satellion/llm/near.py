@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from satellion.functions.shipping import ship
 from satellion.llm.common import batches, mix64, store, word_hashes
 from satellion.llm.components import components
 
@@ -301,6 +302,7 @@ def jaccard_join(documents: DataFrame, percent: int = 75, sample_docs: int = 400
 
     n_links counts the verified links of the row's class that the search kept (links inside a component that other links imply may go untested).
     """
+    ship(documents.sparkSession)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     named = docs.where("doc_id is not null")
     all_rows = store(sketch(docs, percent, frequent_shingles(named, sample_docs, frequent)))

@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from satellion.functions.shipping import ship
 from satellion.llm.common import store
 
 
@@ -114,6 +115,7 @@ def nearest(embeddings: DataFrame, k: int = 5, every: int = 50, m: int = 8, cert
     Unusable vectors (see usable) and null ids take no part. Vectors of different lengths are not compared. A vec_id that
     is repeated stands for each of its vectors; rows equal in id and vector count once. A query's own id is left out.
     """
+    ship(embeddings.sparkSession)
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     rows = rows.where("vec_id is not null").where(usable("v")).withColumn("v", F.transform("v", lambda x: F.when(x == 0, 0.0).otherwise(x))).distinct()
     nth = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))

@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from satellion.functions.shipping import ship
 from satellion.llm.common import store
 
 SALTS = 64
@@ -169,6 +170,7 @@ def pack(documents: DataFrame, capacity: int = 1024, end_id: int = 2, tokenizer:
 
     tokenizer is the path of a byte-level vocabulary file (None: the installed public one); workers read it where they run.
     """
+    ship(documents.sparkSession)
     pieces = cut(documents, tokenizer, capacity, end_id)
     return assign(store(pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int"))), capacity)
 

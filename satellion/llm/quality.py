@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from satellion.functions.shipping import ship
 from satellion.llm.common import batches, held_out, joined_bytes, labelled_sample, word_hashes
 
 #: Byte classes: other 0, lower 1, upper 2, digit 3, blank 4, line end 5, sentence marks 6, other marks one each (mod 8), non-ASCII 15.
@@ -123,6 +124,7 @@ def score_quality(documents: DataFrame, labels: DataFrame, label: str = "quality
 
     fit_rows bounds the labelled sample, dims its vectors; nothing else is limited.
     """
+    ship(documents.sparkSession)
     model = train(documents, labels, label, fit_rows, dims)
     if model is None:
         scored = documents.withColumn("score", F.lit(0.5))

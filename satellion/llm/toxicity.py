@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from satellion.functions.shipping import ship
 from satellion.llm.common import _LOWER, _SPACE, batches, held_out, joined_bytes, labelled_sample
 
 BITS, SIZES = 17, (3, 4, 5)
@@ -160,6 +161,7 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic"
 
     fit_rows bounds the labelled sample; every whole text is scored.
     """
+    ship(documents.sparkSession)
     rows = labelled_sample(documents, labels, label, fit_rows).orderBy("doc_id", "text").limit(2 * fit_rows).toPandas()
     if not len(rows):
         scored = documents.withColumn("score", F.lit(0.5))
