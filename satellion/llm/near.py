@@ -64,8 +64,8 @@ def prefix_size(n: int, percent: int) -> int:
 
 
 def count_vector(s: np.ndarray) -> np.ndarray:
-    """Counts by group: a power of two of groups, a fourth of the elements at least; groups are leading bits, so vectors fold."""
-    bits = min(15, max(4, int(np.ceil(np.log2(max(1, len(s)) / 4)))))
+    """Counts by group: a power of two of groups, half as many as elements at least; groups are leading bits, so vectors fold."""
+    bits = min(15, max(4, int(np.ceil(np.log2(max(1, len(s)) / 2)))))
     return np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint16)
 
 
@@ -112,8 +112,6 @@ class CountRTree:
 
 def tile_pairs(ids: np.ndarray, comp: np.ndarray, part: np.ndarray, vectors: list[np.ndarray], percent: int) -> np.ndarray:
     """Pairs that the bound allows between tile 0 and tile 1, or within tile 0 if there is no other; not within a component."""
-    groups = min(len(v) for v in vectors)
-    groups = max(groups, 16)
     sizes = np.array([int(v.sum()) for v in vectors])
     out = []
     left, right = np.flatnonzero(part == 0), np.flatnonzero(part == 1)
@@ -248,39 +246,54 @@ def verify(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def candidates(reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes in different components whose prefixes meet and whose count vectors allow a link. reps(id, comp, keys, vec)."""
+    """Pairs of classes in different components whose prefixes meet and whose count vectors allow a link. reps(id, comp, keys, vec).
+
+    Keys with the same first member (by component, then id) make one block, so classes that share many keys meet once.
+    """
     keyed = reps.select(F.explode("keys").alias("key"), "id", "comp").repartition("key").sortWithinPartitions("key", "comp", "id")
 
     def mixed(parts):
-        """Rows of keys that hold several components, with their place in the key. A key's first component waits for a second; a long wait ends in its being passed on, which costs work only."""
-        key = comp = None
-        held: list[np.ndarray] = []
+        """(anchor, id, comp) of keys that hold several components. A key's first component waits for a second one; a long wait ends in its being passed on, which costs work only."""
+        key = anchor = comp = None
+        held: list[np.ndarray] | None = []
         n = 0
         for pdf in parts:
+            if not len(pdf):
+                continue
             k, c, i = (pdf[x].to_numpy() for x in ("key", "comp", "id"))
             at = starts_of(pdf, ["key"])
             out = []
-            for a, b in zip(at[:-1], at[1:]):
-                if k[a] != key:
-                    key, comp, held, n = k[a], c[a], [], 0
-                rows = np.stack((k[a:b], i[a:b], c[a:b], n + np.arange(b - a)), 1)
-                n += b - a
-                if held is not None and c[b - 1] == comp and n < 1 << 20:
+            first = 0
+            if k[0] == key:  # goes on from the frame before
+                first = 1
+                rows = np.stack((np.full(at[1], anchor), i[: at[1]], c[: at[1]]), 1)
+                n += len(rows)
+                if held is not None and rows[-1, 2] == comp and n < 1 << 20:
                     held.append(rows)
-                    continue
-                out += [*(held or ()), rows]
-                held = None
-            rows = np.concatenate(out) if out else np.zeros((0, 4), np.int64)
-            yield pd.DataFrame({"key": rows[:, 0], "id": rows[:, 1], "comp": rows[:, 2], "tile": rows[:, 3] // TILE})
-
-    rows = store(keyed.mapInPandas(mixed, "key long, id long, comp long, tile long"))
-    tiles = rows.where("tile > 0").groupBy("key").agg((F.max("tile") + 1).alias("tiles"))
+                else:
+                    out += [*(held or ()), rows]
+                    held = None
+            if len(at) - 1 > first:
+                begin, end = at[first:-1], at[first + 1 :]
+                heads = np.repeat(i[begin], end - begin)
+                rows = np.stack((heads, i[at[first] :], c[at[first] :]), 1)
+                both = c[begin] != c[end - 1]
+                out.append(rows[np.repeat(both, end - begin)])
+                a = begin[-1]
+                key, anchor, comp, n = k[a], i[a], c[a], end[-1] - a
+                held = None if both[-1] else [rows[a - at[first] :]]
+            rows = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 3), np.int64)
+            yield pd.DataFrame({"anchor": rows[:, 0], "id": rows[:, 1], "comp": rows[:, 2]})
+
+    rows = store(keyed.mapInPandas(mixed, "anchor long, id long, comp long").distinct())
+    tiles = rows.groupBy("anchor").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")).where("tiles > 1")
+    tile = F.pmod(F.xxhash64("id"), F.coalesce("tiles", F.lit(1))).cast("int")
     spread = (
-        rows.join(tiles, "key", "left").join(reps.select("id", "vec"), "id")
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("tiles", F.lit(1)) - 1)))
-        .select("key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), (F.col("tile") > F.col("other")).cast("int").alias("part"), "id", "comp", "vec")
+        rows.join(tiles, "anchor", "left").join(reps.select("id", "vec"), "id").withColumn("tile", tile)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("tiles", F.lit(1)) - 1)))
+        .select("anchor", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), (F.col("tile") > F.col("other")).cast("int").alias("part"), "id", "comp", "vec")
     )
-    keys = ["key", "i", "j"]
+    keys = ["anchor", "i", "j"]
 
     def search(parts):
         for pdf in runs(parts, keys):
