@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from satellion.functions.shipping import ship
-from satellion.llm.common import WORD, store
+from satellion.llm.common import BLANKS, count_words, store
 
 #: Documents a cell, about.
 CELL = 512
@@ -96,7 +96,7 @@ def mix_sources(documents: DataFrame, seed: int = 17, most: int = 3, cell: int =
     """
     ship(documents.sparkSession)
     plain = documents.drop("size", "source_size", "target", "taken", "p", "whole", "cell")
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    size = count_words(F.coalesce("text", F.lit("")), BLANKS)
     sized = plain.withColumn("size", size)
     decided = decide(store(sized.select("doc_id", "source", "size")), seed, most, cell)
     if not keep_columns:
