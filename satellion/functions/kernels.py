@@ -8,6 +8,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 GAP = 0  # composition of dashes only
 SYMBOLS = "ACGT-"
@@ -182,22 +183,26 @@ def _columns(array: str, pattern: str, path: list[tuple[int, int]]) -> list[tupl
     return columns
 
 
-@F.pandas_udf("int")
+#: What building a profile gives. Types are objects, as workers that import this have no session to parse text.
+PROFILE = T.StructType([T.StructField("pattern", T.StringType()), T.StructField("profile", T.ArrayType(T.ShortType())), T.StructField("copynum", T.DoubleType()), T.StructField("conserved", T.DoubleType())])
+
+
+@F.pandas_udf(T.IntegerType())
 def lcs(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else lcs_length(x, y) for x, y in zip(a, b)], dtype="Int32")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else profile_similarity(np.asarray(x, dtype=np.int64), np.asarray(y, dtype=np.int64)) for x, y in zip(a, b)])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def consensus_of(a: pd.Series) -> pd.Series:
     return pd.Series([None if x is None else consensus(np.asarray(x, dtype=np.int64)) for x in a])
 
 
-@F.pandas_udf("pattern string, profile array<short>, copynum double, conserved double")
+@F.pandas_udf(PROFILE)
 def profile_of(array: pd.Series, pattern: pd.Series) -> pd.DataFrame:
     rows = [build_profile(x, y) if x and y else (y, [], 0.0, 0.0) for x, y in zip(array, pattern)]
     return pd.DataFrame(rows, columns=["pattern", "profile", "copynum", "conserved"])
