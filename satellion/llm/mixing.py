@@ -101,12 +101,16 @@ def mix_sources(documents: DataFrame, seed: int = 17, most: int = 3, cell: int =
     decided = decide(store(sized.select("doc_id", "source", "size")), seed, most, cell)
     if not keep_columns:
         return decided
-    # a row's number among equals tells repeated rows apart
-    by = ["doc_id", "source", "size"]
-    left = sized.withColumn("nth", F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64("text"))))
-    right = decided.withColumn("nth", F.row_number().over(Window.partitionBy(*by).orderBy("taken")))
-    on = [left[c].eqNullSafe(right[c]) for c in [*by, "nth"]]
-    return left.join(right, on).select(*[left[c] for c in sized.columns], right.source_size, right.target, right.taken)
+    # Equal rows (in id, source and size) are taken alike but for one copy more or less, so three numbers tell all their
+    # shares; the row's number among its equals picks one. Window and join share one key: texts are dealt once.
+    key = F.concat_ws("\x01", F.coalesce(F.col("doc_id").cast("string"), F.lit("\x02")), F.coalesce("source", F.lit("\x02")), F.col("size").cast("string")).alias("_key")
+    share = decided.select(key, "source_size", "target", "taken").groupBy("_key").agg(
+        F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.min("taken").alias("_low"), F.max("taken").alias("_high"), F.sum("taken").alias("_sum"), F.count("*").alias("_n")
+    )
+    left = sized.withColumn("_key", key).withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64("text"))))
+    high = F.when(F.col("_high") > F.col("_low"), (F.col("_sum") - F.col("_n") * F.col("_low")) / (F.col("_high") - F.col("_low"))).otherwise(0)
+    taken = F.when(F.col("_nth") <= F.round(high), F.col("_high")).otherwise(F.col("_low")).alias("taken")
+    return left.join(share, "_key").select(*sized.columns, "source_size", "target", taken)
 
 
 def decide(sized: DataFrame, seed: int, most: int, cell: int) -> DataFrame:
