@@ -169,7 +169,7 @@ def mirror_reverse(trs: DataFrame) -> DataFrame:
     n = F.regexp_extract("head", r"_(\d+)_RCYES$", 1)
     rc = F.col("head").rlike(r"_\d+_RCYES$")
     turn = lambda c: F.reverse(F.translate(c, "ACGTacgt", "TGCAtgca"))
-    size = F.try_to_number(n, F.lit("999999999")).cast("int")
+    size = n.try_cast("int")
     pick = lambda a, b: F.when(rc, a).otherwise(b)
     return trs.select(
         F.regexp_replace("head", r"_\d+_RCYES$", "").alias("head"), rc.alias("is_rc"), pick(size - F.col("last") + 1, F.col("first")).alias("first"), pick(size - F.col("first") + 1, F.col("last")).alias("last"),
