@@ -71,9 +71,10 @@ def leb36_encode(ids: str) -> Column:
     return F.array_join(F.transform(ids, lambda x: F.concat(digit(x % 36), digit((x / 36).cast("int")))), "")
 
 
-def leb36_decode(s: str) -> Column:
+def leb36_decode(s: str | Column) -> Column:
+    s = F.col(s) if isinstance(s, str) else s
     value = lambda c: F.when(c.between("0", "9"), F.ascii(c) - 48).otherwise(F.ascii(c) - 55)
-    return F.transform(F.sequence(F.lit(0), F.greatest((F.length(s) / 2).cast("int") - 1, F.lit(0))), lambda i: (value(F.substring(F.col(s), 2 * i + 1, F.lit(1))) + 36 * value(F.substring(F.col(s), 2 * i + 2, F.lit(1)))).cast("short"))
+    return F.transform(F.sequence(F.lit(0), F.greatest((F.length(s) / 2).cast("int") - 1, F.lit(0))), lambda i: (value(F.substring(s, 2 * i + 1, F.lit(1))) + 36 * value(F.substring(s, 2 * i + 2, F.lit(1)))).cast("short"))
 
 
 def anchored_distance(n: str, m: str, most: int | None = None) -> Column:
