@@ -11,8 +11,12 @@ from satellion.functions.shipping import ship
 from satellion.functions.storing import store
 
 #: Least pattern lengths of the size ranges and their seed masks (* skips a symbol).
-RANGES = (6, 10, 17, 25, 30, 39, 59, 89)
-MASKS = ("111*1", "1111*11", "11111*111", "11111*1111", "111111*11111*11", "111111*111111*11", "111*11111*111*111*11", "11*111*11111**11**111*11*11")
+RANGES = (6, 10, 17, 25, 30, 39, 59, 89, 134, 201, 303, 474, 715, 1111)
+MASKS = (
+    "111*1", "1111*11", "11111*111", "11111*1111", "111111*11111*11", "111111*111111*11", "111*11111*111*111*11",
+    "11*111*11111**11**111*11*11", "11*111*11111**11**111*11*11", "11*111*11111**11**111*11*11", "11*111*11111**11**111*11*11",
+    "1**11***1111**11*11**1*11*11*111**11", "1**11***1111**11*11**1*11*11*111**11**111", "1**11***1111**11*11**1*11*11*111**11**111*1*11",
+)
 
 
 def min_representation(p: str, rc: str) -> tuple[Column, Column]:
@@ -38,13 +42,18 @@ def size_range(n: Column) -> Column:
     return out
 
 
-def seeds(df: DataFrame, pattern: str, id_: str) -> DataFrame:
-    """(id_, range, seed): distinct masked windows inside each pattern."""
+def seeds(df: DataFrame, pattern: str, id_: str, neighbours: bool = False) -> DataFrame:
+    """(id_, range, size, seed): distinct masked windows inside each pattern, by its own size range.
+
+    With neighbours, also by every other range that holds a size within 10 % of it, so patterns on either side of a limit still meet.
+    """
     n = F.length(pattern)
+    low, high = (size_range(F.floor((n - 1) / 1.1)), size_range(F.ceil((n + 1) / 0.9))) if neighbours else (size_range(n), size_range(n))
+    ranged = df.select(id_, pattern, n.alias("size"), F.explode(F.sequence(low, high)).alias("range")).where("range > 0")
     windows = F.array().cast("array<string>")
     for r, mask in enumerate(MASKS):
-        windows = F.when((size_range(n) == r + 1) & (n >= len(mask)), _windows(pattern, mask)).otherwise(windows)
-    return df.select(id_, size_range(n).alias("range"), n.alias("size"), F.explode(F.array_distinct(windows)).alias("seed"))
+        windows = F.when((F.col("range") == r + 1) & (F.col("size") >= len(mask)), _windows(pattern, mask)).otherwise(windows)
+    return ranged.select(id_, "range", "size", F.explode(F.array_distinct(windows)).alias("seed"))
 
 
 def _windows(pattern: str, mask: str) -> Column:
@@ -59,7 +68,7 @@ def seed_candidates(refs: DataFrame, reads: DataFrame) -> DataFrame:
     """refs(ref_id, pattern), reads(read_id, pattern) -> (ref_id, read_id, ref_rc): a seed in common and sizes within 10 %. Joined on seed hash by Spark's skew-aware join, then distinct."""
     both = refs.select("ref_id", "pattern", F.lit(False).alias("rc")).union(refs.select("ref_id", reverse_complement("pattern").alias("pattern"), F.lit(True)))
     keyed = both.withColumn("k", F.struct("ref_id", "rc"))
-    left = seeds(keyed, "pattern", "k").select("k", "range", "seed", F.col("size").alias("ref_size"))
+    left = seeds(keyed, "pattern", "k", neighbours=True).select("k", "range", "seed", F.col("size").alias("ref_size"))
     right = seeds(reads, "pattern", "read_id").select("read_id", "range", "seed", F.col("size").alias("read_size"))
     slack = (F.col("read_size") * 0.10 + 1.0).cast("int")
     near = left.join(right, ["range", "seed"]).where(F.abs(F.col("ref_size") - F.col("read_size")) <= slack)

@@ -68,8 +68,7 @@ def u02(s, d):
 
 @query("d03_d04_redundancy", sql(f"SELECT min(ref_id) OVER (PARTITION BY least(pattern, {TURN.format('pattern')})) AS group_id, ref_id AS rid, {TURN.format('pattern')} < pattern AS is_rc, ref_id = min(ref_id) OVER (PARTITION BY least(pattern, {TURN.format('pattern')})) AS is_head FROM refs"))
 def d04(s, d):
-    code = lambda c: F.transform(F.filter(F.split(c, ""), lambda x: x != ""), lambda x: F.ascii(x).cast("short"))
-    p = refs(s, d).withColumn("rc", scalars.reverse_complement("pattern")).select(F.col("ref_id").alias("rid"), code("pattern").alias("profile"), code("rc").alias("profile_rc"))
+    p = refs(s, d).withColumn("rc", scalars.reverse_complement("pattern")).select(F.col("ref_id").alias("rid"), _codes("pattern").alias("profile"), _codes("rc").alias("profile_rc"))
     return clustering.redundancy_groups(p)
 
 
@@ -86,10 +85,17 @@ def s09(s, d):
     return both_strands(table(s, d, "part").select(F.concat(F.lit("p"), "p_partkey").alias("head"), dna("p_name").alias("dna"))).select("head", "dna")
 
 
+def _codes(c):
+    return F.transform(F.filter(F.split(c, ""), lambda x: x != ""), lambda x: F.ascii(x).cast("short"))
+
+
 @query("g02_seed_candidates")
 def g02(s, d):
-    r = refs(s, d).select("ref_id", "pattern")
-    return clustering.seed_candidates(r.where("ref_id % 2 = 0"), r.where("ref_id % 2 = 1").withColumnRenamed("ref_id", "read_id"))
+    """All references' groups against each other: one head a group is searched, as members share its pattern."""
+    r = refs(s, d).withColumn("rc", scalars.reverse_complement("pattern"))
+    groups = clustering.redundancy_groups(r.select(F.col("ref_id").alias("rid"), _codes("pattern").alias("profile"), _codes("rc").alias("profile_rc")))
+    heads = r.join(groups.where("is_head").select(F.col("rid").alias("ref_id")), "ref_id", "left_semi").select("ref_id", "pattern")
+    return clustering.seed_candidates(heads, heads.withColumnRenamed("ref_id", "read_id"))
 
 
 @query("u03_f07_lcs_filter")
