@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +33,18 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(True))
 
 
+def set_aside(df: DataFrame, used: tuple[str, ...], made: tuple[str, ...] = ()) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """df with all columns but `used` under names that no operator uses, and a function that gives the names back.
+
+    Columns named in `made` are dropped first, as the operator adds its own; the function puts those last.
+    """
+    df = df.drop(*made)
+    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    names = {c: c if c in used else f"_aside_{i}" for i, c in enumerate(df.columns)}
+    back = lambda out: out.select(*[quoted(n).alias(c) for c, n in names.items()], *made)
+    return df.select(*[quoted(c).alias(n) for c, n in names.items()]), back
+
+
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, fit_rows: int) -> DataFrame:
     """(doc_id, text, y) of at most fit_rows training rows, chosen by id hash; the ids are chosen from the small table first.
 

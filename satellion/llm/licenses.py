@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from satellion.llm.common import count_words
+from satellion.llm.common import count_words, set_aside
 
 #: What stands between words; words are digits, letters (A-Z still in either case) and everything beyond ASCII.
 GAPS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -92,9 +92,11 @@ def find_licenses(documents: DataFrame) -> DataFrame:
     """documents with n_words, base (starts of phrases, by label), base_labels, labels and licenses (label, priority, start, end in normalized words' characters) and a score.
 
     The score is 1 where a base phrase or a versioned rule speaks, less for vaguer rules, 0 without a detection.
+    Extra columns stay; those of the added names are replaced.
     """
+    plain, back = set_aside(documents, ("doc_id", "text"), ("n_words", "base", "base_labels", "labels", "licenses", "score"))
     raw = F.coalesce("text", F.lit(""))
-    df = documents.withColumn("_raw", raw).withColumn("n_words", count_words(F.col("_raw"), GAPS)).withColumn("_low", F.lower("_raw"))
+    df = plain.withColumn("_raw", raw).withColumn("n_words", count_words(F.col("_raw"), GAPS)).withColumn("_low", F.lower("_raw"))
     upper, lower = "".join(map(chr, range(65, 91))), "".join(map(chr, range(97, 123)))
     norm = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.translate("_raw", upper, lower), GAPS, " ")), F.lit(" "))
     df = df.withColumn("_norm", F.when(_gate("_low"), norm)).drop("_low")
@@ -129,4 +131,4 @@ def find_licenses(documents: DataFrame) -> DataFrame:
     labels = F.array_sort(F.array_distinct(F.concat(F.transform("base", lambda b: b["label"]), F.transform("licenses", lambda d: d["label"]))))
     best = F.array_max(F.transform("licenses", lambda d: F.lit(1.0) - F.greatest(d["priority"] - 3, F.lit(0)) * 0.2))
     df = df.withColumns({"base_labels": F.array_join(base_labels, ","), "labels": F.array_join(labels, ","), "score": F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce(best, F.lit(0.0))).cast("double")})
-    return df.drop("_raw", "_norm", "_keys", "_found")
+    return back(df)

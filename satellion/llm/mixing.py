@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from satellion.functions.shipping import ship
-from satellion.llm.common import BLANKS, count_words, store
+from satellion.llm.common import BLANKS, count_words, set_aside, store
 
 #: Documents a cell, about.
 CELL = 512
@@ -89,13 +89,16 @@ def flier(seed: int, level: int):
 
 
 def mix_sources(documents: DataFrame, seed: int = 17, most: int = 3, cell: int = CELL, keep_columns: bool = True) -> DataFrame:
-    """documents with size, source_size, target and taken added; extra columns stay (columns of these names are replaced) unless keep_columns is False.
+    """documents with size, source_size, target and taken added; extra columns stay (columns of these four names are replaced) unless keep_columns is False.
 
     Sizes are words; null texts have 0, and an empty source takes nothing. Repeated rows count one by one. The
-    sources' totals go to the driver, one row a source: sources are named kinds, a few thousand at most.
+    sources' totals go to the driver, one row a source: sources are named kinds, a few thousand at most. cell is 8 or more, so that
+    every level leaves fewer documents open.
     """
+    if cell < 8:
+        raise ValueError("cell must be 8 or more")
     ship(documents.sparkSession)
-    plain = documents.drop("size", "source_size", "target", "taken", "p", "whole", "cell")
+    plain, back = set_aside(documents, ("doc_id", "source", "text"), ("size", "source_size", "target", "taken"))
     size = count_words(F.coalesce("text", F.lit("")), BLANKS)
     sized = plain.withColumn("size", size)
     decided = decide(store(sized.select("doc_id", "source", "size")), seed, most, cell)
@@ -110,7 +113,7 @@ def mix_sources(documents: DataFrame, seed: int = 17, most: int = 3, cell: int =
     left = sized.withColumn("_key", key).withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64("text"))))
     high = F.when(F.col("_high") > F.col("_low"), (F.col("_sum") - F.col("_n") * F.col("_low")) / (F.col("_high") - F.col("_low"))).otherwise(0)
     taken = F.when(F.col("_nth") <= F.round(high), F.col("_high")).otherwise(F.col("_low")).alias("taken")
-    return left.join(share, "_key").select(*sized.columns, "source_size", "target", taken)
+    return back(left.join(share, "_key").select(*sized.columns, "source_size", "target", taken))
 
 
 def decide(sized: DataFrame, seed: int, most: int, cell: int) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from satellion.llm.common import set_aside
 from satellion.llm.spans import SPAN, by_kind, digits, luhn, matches, mod97, spans_of
 
 _PART = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
@@ -35,11 +36,14 @@ CONTEXT = {
 def find_pii(documents: DataFrame, window: int = 40, least: float = 0.5) -> DataFrame:
     """documents with pii added: spans (kind, ord, start, end, value, score), by kind and start; positions count code points.
 
+    Extra columns stay; one named pii is replaced.
+
     A context word within window code points adds 0.3 to the score, 1 at most. Spans that no base rule
     demands stay only with a score of least.
     """
     t = F.col("_text")
-    df = documents.withColumn("_text", F.coalesce("text", F.lit("")))
+    plain, back = set_aside(documents, ("doc_id", "text"), ("pii",))
+    df = plain.withColumn("_text", F.coalesce("text", F.lit("")))
     df = df.withColumns({f"_{k}": matches("_text", p, gate(t)) for k, (p, gate, _, _) in KINDS.items()})
     df = df.withColumn("pii", F.concat(*[spans_of("_text", f"_{k}", p, k, i, keep, score) for i, (k, (p, _, keep, score)) in enumerate(KINDS.items())]))
 
@@ -52,12 +56,13 @@ def find_pii(documents: DataFrame, window: int = 40, least: float = 0.5) -> Data
 
     scored = F.filter(F.transform("pii", adjusted), lambda s: s["kind"].isin(*BASE) | (s["score"] >= least))
     df = df.withColumn("pii", F.when(F.size("pii") > 0, by_kind(scored)).otherwise(F.array().cast(SPAN)))
-    return df.drop("_text", *[f"_{k}" for k in KINDS])
+    return back(df)
 
 
 def redact(documents: DataFrame) -> DataFrame:
-    """documents with each span of personal data replaced by its kind in angle brackets, longest first where spans overlap; n_chars follows. Null texts stay null."""
-    df = find_pii(documents).withColumn("pii", F.array_sort(F.transform("pii", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("end"), s["kind"].alias("kind")))))
+    """documents with each span of personal data replaced by its kind in angle brackets, longest first where spans overlap; n_chars follows. Null texts stay null. All columns stay."""
+    plain, back = set_aside(documents, ("doc_id", "text", "n_chars"))
+    df = find_pii(plain).withColumn("pii", F.array_sort(F.transform("pii", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("end"), s["kind"].alias("kind")))))
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -67,5 +72,5 @@ def redact(documents: DataFrame) -> DataFrame:
         )
 
     done = F.aggregate("pii", zero, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
-    df = df.withColumn("text", F.when(F.size("pii") > 0, done).otherwise(F.col("text"))).drop("pii")
-    return df.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in documents.columns else df
+    df = df.withColumn("text", F.when(F.size("pii") > 0, done).otherwise(F.col("text")))
+    return back(df.withColumn("n_chars", F.length("text").cast("long")))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from satellion.llm.common import set_aside
 from satellion.llm.spans import SPAN, by_start, matches, spans_of
 
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+"""
@@ -32,8 +33,9 @@ NEEDS = {"weak_id": ("assign", "weak_secret", "hex"), "weak_secret": ("access",
 
 
 def find_secrets(documents: DataFrame, scope: int = 300) -> DataFrame:
-    """documents with secrets added: spans (kind, ord, start, end, value, score), by start and kind; positions count code points."""
-    df = documents.withColumn("_text", F.coalesce("text", F.lit("")))
+    """documents with secrets added: spans (kind, ord, start, end, value, score), by start and kind; positions count code points. Extra columns stay; one named secrets is replaced."""
+    plain, back = set_aside(documents, ("doc_id", "text"), ("secrets",))
+    df = plain.withColumn("_text", F.coalesce("text", F.lit("")))
     df = df.withColumns({f"_{k}": matches("_text", p, F.col("_text").rlike(gate)) for k, (p, gate, _) in KINDS.items()})
     df = df.withColumn("_all", F.concat(*[spans_of("_text", f"_{k}", p, k, i, keep, 1.0 if k in BASE else 0.5) for i, (k, (p, _, keep)) in enumerate(KINDS.items())]))
     # cells of the scope's length that parts of each kind cover: an interval meets another if cells agree, then exactly
@@ -50,4 +52,4 @@ def find_secrets(documents: DataFrame, scope: int = 300) -> DataFrame:
 
     linked = F.when(F.size(weak) > 0, F.filter(weak, complements)).otherwise(F.array().cast(SPAN))
     df = df.withColumn("secrets", F.when(F.size("_all") > 0, by_start(F.concat(base, linked))).otherwise(F.array().cast(SPAN)))
-    return df.drop("_text", "_all", *[f"_{k}" for k in KINDS])
+    return back(df)
