@@ -28,12 +28,14 @@ def distances() -> np.ndarray:
     return np.rint(255 * np.sqrt(((c[:, None] - c[None]) ** 2).sum(-1) / 200)).astype(np.uint8)
 
 
+@cache
+def _nearest(counts: tuple[int, ...]) -> int:
+    return int(np.argmin(((compositions() - 10 * np.array(counts) / sum(counts)) ** 2).sum(1)))
+
+
 def nearest_composition(counts: np.ndarray) -> int:
     """Id of the composition nearest to counts scaled to 10; the first of equals. Without counts: the gap."""
-    total = counts.sum()
-    if not total:
-        return GAP
-    return int(np.argmin(((compositions() - 10 * counts / total) ** 2).sum(1)))
+    return _nearest(tuple(map(int, counts))) if counts.sum() else GAP
 
 
 def lcs_length(a: str, b: str) -> int:
@@ -93,21 +95,22 @@ def wraparound(array: str, pattern: str, match: int = 2, mismatch: int = -5, gap
     s = np.zeros((n + 1, m + 1), dtype=np.int64)
     back = np.zeros((n + 1, m + 1), dtype=np.int8)  # 0 diagonal, 1 left, 2 top
     s[:, 0] = np.arange(n + 1) * gap
-    codes = np.array([ord(c) for c in pattern])
+    codes, cost = np.array([ord(c) for c in pattern]), np.arange(m + 1) * gap
     for i in range(1, n + 1):
         c = array[i - 1]
         hit = np.where((codes == ord(c)) & (c in "ACGT"), match, mismatch)
         before = s[i - 1, :-1].copy()
         before[0] = max(before[0], s[i - 1, m])
-        for j in range(1, m + 1):
-            choice = (before[j - 1] + hit[j - 1], s[i, j - 1] + gap, s[i - 1, j] + gap)
-            k = max(range(3), key=lambda x: (choice[x], -x))
-            s[i, j], back[i, j] = choice[k], k
-        j, value = 1, s[i, m] + gap
-        while j <= m and value > s[i, j]:
-            s[i, j], back[i, j] = value, 1
-            value += gap
-            j += 1
+        diagonal = before + hit
+        # moves to the left: a running maximum of the score less what gaps along the row cost
+        row = s[i]
+        row[1:] = np.maximum(diagonal, s[i - 1, 1:] + gap)
+        row[:] = np.maximum.accumulate(row - cost) + cost
+        back[i, 1:] = np.where(row[1:] == diagonal, 0, np.where(row[1:] == row[:-1] + gap, 1, 2))
+        # around the pattern's end to its start, as far as that gains
+        around = row[m] + cost[1:]
+        gains = int(np.argmin(np.append(around > row[1:], False)))
+        row[1 : gains + 1], back[i, 1 : gains + 1] = around[:gains], 1
     j = int(max(range(1, m + 1), key=lambda x: (s[n, x], x))) if m else 0
     i, score, path = n, int(s[n, j]), []
     while i:

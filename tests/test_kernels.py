@@ -43,3 +43,28 @@ def test_profile_of_exact_copies(pattern, n):
     assert score == 2 * n * len(pattern)
     best, profile, copies, conserved = kernels.build_profile(pattern * n, pattern)
     assert conserved == 1 and abs(copies - n) < 1e-9 and len(profile) == len(pattern)
+
+
+def plain_wraparound(array, pattern, match=2, mismatch=-5, gap=-7):
+    """Score table cell by cell: around the end once more for every row."""
+    m = len(pattern)
+    row = [0] * (m + 1)
+    for i, c in enumerate(array):
+        new = [(i + 1) * gap]
+        for j in range(1, m + 1):
+            before = max(row[0], row[m]) if j == 1 else row[j - 1]
+            new.append(max(before + (match if c == pattern[j - 1] and c in "ACGT" else mismatch), new[j - 1] + gap, row[j] + gap))
+        for j in range(1, m + 1):
+            new[j] = max(new[j], new[m] + j * gap)
+        row = new
+    return max(row[1:])
+
+
+@settings(deadline=None, max_examples=200)
+@given(st.text("ACGTN", min_size=1, max_size=30), st.text("ACGT", min_size=1, max_size=8))
+def test_wraparound(array, pattern):
+    score, path = kernels.wraparound(array, pattern)
+    assert score == plain_wraparound(array, pattern)
+    assert [a for a, _ in path if a >= 0] == list(range(len(array)))
+    paid = sum(-7 if a < 0 or p < 0 else 2 if array[a] == pattern[p] and array[a] in "ACGT" else -5 for a, p in path)
+    assert paid == score
