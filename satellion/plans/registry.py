@@ -21,7 +21,7 @@ def query(name: str, sql: str | None = None):
 
 
 def queries() -> dict[str, Callable]:
-    from satellion.plans import relational, reporting, text_and_kernels  # noqa: F401  they register on import
+    from satellion.plans import details, relational, reporting, text_and_kernels  # noqa: F401  they register on import
 
     return QUERIES
 
