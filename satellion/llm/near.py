@@ -4,11 +4,12 @@
 2. Exact blocking: sets at least `percent` similar share an element of their prefixes (the rarest
    n - ceil(percent * n) + 1 elements in any order that all texts share). The order puts shingles that a bounded
    sample shows to be frequent last; this only steers cost, as the prefix rule holds in every order.
-3. Min-hash bands first propose star edges, verified exactly. Classes that these already connect need no further test against each other.
+3. Min-hash bands first propose star edges, verified exactly. What these connect needs no further test to be one component.
 4. In each block the rest are points in an R-tree: shingles hashed into groups, counted by group. The summed
    coordinate minima of a query and a node's upper corner bound the overlap of all points below the node. Blocks are
    cut into tiles of bounded size; every pair of tiles is a task of its own, so hot blocks are split and nothing is capped.
 5. Surviving pairs are verified on whole texts, and links become components.
+6. To count links, classes of one star component meet in tiles too, and whole sets are compared there.
 
 Ids stand for rows: rows that share an id are one document. Rows with a null id are returned unlinked, with a
 null component. Null texts, and texts without words, have an empty set.
@@ -17,6 +18,7 @@ null component. Null texts, and texts without words, have an empty set.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -28,6 +30,8 @@ from satellion.llm.common import batches, mix64, store, word_hashes
 from satellion.llm.components import components
 
 N, BANDS, ROWS, TILE = 5, 8, 3, 1024
+#: Of links inside components: classes and shingles of a tile, and the most sets of a shingle that is counted by pairs.
+INNER, INNER_SHINGLES, FEW = 512, 1 << 20, 64
 _MIX = [np.uint64(pow(0x9E3779B97F4A7C15, 2 * k + 3, 1 << 64)) for k in range(N)]
 _MINH = [np.uint64(pow(0xD1342543DE82EF95, k + 1, 1 << 64)) for k in range(BANDS * ROWS)]
 _KEY = np.uint64((1 << 48) - 1)
@@ -59,6 +63,43 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements any two different sets share. Elements of few sets are counted by pairs of these sets, others by matrix products."""
+    m = len(sets)
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    flat, who = flat[order], np.repeat(np.arange(m), [len(s) for s in sets])[order]
+    begin = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])[: len(flat)])
+    often = np.diff(np.append(begin, len(flat)))
+    pairs = np.zeros(m * m, dtype=np.int64)
+    for d in np.unique(often[(often > 1) & (often <= FEW)]):
+        at = begin[often == d]
+        x, y = np.triu_indices(d, 1)
+        step = max(1, (1 << 20) // len(x))
+        for k in range(0, len(at), step):
+            g = who[at[k : k + step, None] + np.arange(d)]
+            pairs += np.bincount((g[:, x] * m + g[:, y]).ravel(), minlength=m * m)
+    out = pairs.reshape(m, m)
+    out = out + out.T
+    at, d = begin[often > FEW], often[often > FEW]
+    for k in range(0, len(at), 4096):
+        n = d[k : k + 4096]
+        column = np.repeat(np.arange(len(n)), n)
+        place = np.repeat(at[k : k + 4096] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        has = np.zeros((m, len(n)), dtype=np.float32)
+        has[who[place], column] = 1
+        out += (has @ has.T).astype(np.int64)
+    return out
+
+
+def all_linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """`linked` of any two of the sets, as a matrix; false on its diagonal."""
+    n, both = np.array([len(s) for s in sets]), shared_counts(sets)
+    out = 100 * both >= percent * (n[:, None] + n - both)
+    np.fill_diagonal(out, False)
+    return out
+
+
 def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
@@ -310,10 +351,46 @@ def candidates(reps: DataFrame, percent: int) -> DataFrame:
     return spread.repartition(*keys).sortWithinPartitions(*keys, "part", "id").mapInPandas(search, "a long, b long").distinct()
 
 
-def jaccard_join(documents: DataFrame, percent: int = 75, sample_docs: int = 4000, frequent: int = 8) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links) for each row of documents.
+def inner_links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(id, n): how many documents of other classes of its component link with a class, in parts that add up. nodes(id, comp, n, copies).
+
+    Components are cut into tiles, and every pair of tiles is a task in which all whole sets meet; only counts leave it.
+    """
+    tiles = nodes.groupBy("comp").agg(F.count("*").alias("m"), F.greatest(F.ceil(F.count("*") / INNER), F.ceil(F.sum("n") / INNER_SHINGLES)).cast("int").alias("tiles"))
+    # two classes are a component by the one link between them
+    large = nodes.join(tiles.where("m > 2"), "comp").withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
+    roles = store(large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
+        "comp", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), (F.col("tile") > F.col("other")).cast("int").alias("part"), "id", "copies"))
+    keys = ["comp", "i", "j"]
+    dealt = with_ids(docs, roles.select("id")).join(roles, F.col("doc_id") == F.col("id")).select(*keys, "part", "id", "copies", "text").repartition(*keys).sortWithinPartitions(*keys, "part", "id")
 
-    n_links counts the verified links of the row's class that the search kept (links inside a component that other links imply may go untested).
+    def run(parts):
+        for pdf in runs(parts, keys):
+            at, sets = starts_of(pdf, keys), shingle_sets(pdf.text.tolist())
+            ids, part, copies = (pdf[x].to_numpy() for x in ("id", "part", "copies"))
+            across = (pdf.i != pdf.j).to_numpy()
+            out = []
+            for a, b in zip(at[:-1], at[1:]):
+                link = all_linked(list(islice(sets, int(b - a))), percent)
+                head = np.flatnonzero(np.append(True, ids[a + 1 : b] != ids[a : b - 1]))
+                if len(head) < b - a:  # rows of one id
+                    link = np.logical_or.reduceat(np.logical_or.reduceat(link, head, axis=0), head, axis=1)
+                    np.fill_diagonal(link, False)
+                p = part[a:b][head]
+                if across[a]:
+                    link &= p[:, None] != p
+                out.append(np.stack((ids[a:b][head], link @ copies[a:b][head]), 1))
+            rows = np.concatenate(out)
+            yield pd.DataFrame({"id": rows[:, 0], "n": rows[:, 1]})
+
+    return dealt.mapInPandas(run, "id long, n long")
+
+
+def jaccard_join(documents: DataFrame, percent: int = 75, sample_docs: int = 4000, frequent: int = 8, count_links: bool = True) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) for each row of documents; without n_links where links aren't counted.
+
+    n_links is the number of other documents whose sets link with the row's, copies of either included. Rows with a null id have none.
+    Where different texts share an id, a class that this id represents has the links of all these texts.
     """
     ship(documents.sparkSession)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -330,14 +407,27 @@ def jaccard_join(documents: DataFrame, percent: int = 75, sample_docs: int = 400
     # rows of one id are one node, and so are all ids of a class
     comp = components(first)
     whole = store(reps.join(comp, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"), "keys", "vec"))
-    links = store(first.union(verify(named, store(candidates(whole, percent)), percent)))
-    final = components(links.union(_same_id(all_rows, classes)))
-    degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
-    named_classes = classes.join(final.withColumnRenamed("id", "rep"), "rep", "left").join(degree.withColumnRenamed("id", "rep"), "rep", "left").select("s1", "s2", F.coalesce("comp", "rep").alias("c"), "n_links")
+    across = store(verify(named, store(candidates(whole, percent)), percent))
+    final = components(first.union(across).union(_same_id(all_rows, classes)))
+    named_classes = classes.join(final.withColumnRenamed("id", "rep"), "rep", "left").select("rep", "s1", "s2", F.coalesce("comp", "rep").alias("c"))
+    if count_links:
+        sizes = all_rows.where("n > 0 and doc_id is not null").select("s1", "s2", "doc_id").distinct().groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+        # classes of one representative share it
+        sizes = store(sizes.groupBy("rep").agg((F.sum("copies") - F.count("*") + 1).alias("copies")))
+        nodes = store(comp.join(reps.groupBy("id").agg(F.max("n").alias("n")), "id").join(sizes.withColumnRenamed("rep", "id"), "id"))
+        two = nodes.groupBy("comp").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count("*").alias("m")).where("m = 2").select("a", "b")
+        pairs = across.union(two)
+        outer = pairs.union(pairs.select("b", "a")).join(sizes, F.col("b") == F.col("rep")).select(F.col("a").alias("id"), F.col("copies").alias("n"))
+        own = sizes.select(F.col("rep").alias("id"), (F.col("copies") - 1).alias("n"))
+        degree = own.union(outer).union(inner_links(named, nodes, percent)).groupBy(F.col("id").alias("rep")).agg(F.sum("n").alias("n_links"))
+        named_classes = named_classes.join(degree, "rep", "left")
+    named_classes = named_classes.drop("rep")
+    has = F.col("doc_id").isNotNull() & (F.col("n") > 0)
+    counted = [F.coalesce(F.when(has, F.col("n_links")), F.lit(0)).cast("long").alias("n_links")] if count_links else []
     return all_rows.select("doc_id", "n", "s1", "s2").join(named_classes, ["s1", "s2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("c")).otherwise(F.col("doc_id"))).alias("component_id"),
-        F.coalesce(F.when(F.col("n") > 0, F.col("n_links")), F.lit(0)).cast("long").alias("n_links"),
+        *counted,
     )
 
 
@@ -352,7 +442,7 @@ def _same_id(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(documents: DataFrame, percent: int = 75) -> DataFrame:
     """One document of each component stays: the one with the smallest id, and one row of it. Rows with a null id stay."""
-    kept = jaccard_join(documents, percent).where("doc_id = component_id").select(F.col("doc_id").alias("keep_id")).distinct()
+    kept = jaccard_join(documents, percent, count_links=False).where("doc_id = component_id").select(F.col("doc_id").alias("keep_id")).distinct()
     ids = documents.where("doc_id is not null")
     rest = ids.join(kept, ids.doc_id == kept.keep_id, "left_semi").dropDuplicates(["doc_id"])
     return rest.union(documents.where("doc_id is null"))

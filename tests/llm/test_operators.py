@@ -55,6 +55,37 @@ def test_jaccard_join(spark):
     assert near.drop_near_duplicates(df).count() == len(set(comp.values()))
 
 
+@pytest.mark.parametrize("inner", [512, 16])
+def test_number_of_links(spark, monkeypatch, inner):
+    """n_links is every other document that links, copies and those of a large group of near copies included, in one tile and in several."""
+    monkeypatch.setattr(near, "INNER", inner)
+    _, texts = docs(spark)
+    rng = random.Random(8)
+    base = [f"v{k}" for k in range(100)]
+    for k in range(120):
+        copy = list(base)
+        for _ in range(k % 4):
+            copy[rng.randrange(100)] = f"x{rng.randrange(10**6)}"
+        texts[1000 + k] = " ".join(copy)
+    s = sets_of(texts)
+    want = {i: 0 for i in s}
+    for a, b in itertools.combinations(s, 2):
+        if s[a] and s[b] and 100 * len(s[a] & s[b]) >= 75 * len(s[a] | s[b]):
+            want[a] += 1
+            want[b] += 1
+    rows = [*texts.items(), (None, texts[1000]), (1000, texts[1000])]
+    got = near.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows) and all(r.n_links == want.get(r.doc_id, 0) for r in got)
+    assert max(want.values()) > 80 > min(want[1000 + k] for k in range(120))
+
+
+def test_shared_counts():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 300, rng.integers(1, 250)).astype(np.uint64)) for _ in range(150)]
+    got = near.shared_counts(sets)
+    assert all(got[a, b] == len(np.intersect1d(sets[a], sets[b])) for a, b in itertools.permutations(range(150), 2))
+
+
 def test_rtree_loses_nothing():
     rng = np.random.default_rng(2)
     base = rng.integers(0, 4, (3, 32))
