@@ -57,7 +57,7 @@ SINGLE = [
     ("isc", "isc licen", 3, "isc licen[cs]e"), ("isc", "any purpose", 3, "permission to use copy modify and or distribute this software for any purpose with or without fee"),
     ("zlib", "zlib", 3, "zlib licen[cs]e"), ("unlicense", "unlicense", 3, "the unlicense"), ("wtfpl", "wtfpl", 3, "wtfpl"), ("cc0", "cc0", 3, "cc0(?: 1 0)?(?: universal)?"),
     ("cc0", "public domain", 4, "public domain dedication"), ("public-domain", "public domain", 5, "(?:in|to|into) the public domain"),
-    ("postgresql", "postgresql", 3, "postgresql licen[cs]e"), ("python", "foundation licen", 3, "python software foundation licen[cs]e"), ("ruby", "ruby licen", 4, "ruby licen[cs]e"),
+    ("postgresql", "postgresql", 3, "postgresql licen[cs]e"), ("python", "foundation licen", 3, "python software foundation licen[cs]e"), ("python", "psf licen", 3, "psf licen[cs]e"), ("ruby", "ruby licen", 4, "ruby licen[cs]e"),
     ("proprietary", "all rights reserved", 6, "all rights reserved"), ("proprietary", "proprietary", 6, "proprietary and confidential"),
 ]
 

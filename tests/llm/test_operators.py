@@ -155,6 +155,15 @@ def test_licenses(spark):
     assert 200 < len(licenses.rules())
 
 
+def labels_of(spark, texts):
+    df = licenses.find_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    return [(r.labels, r.score) for r in df.select("doc_id", "labels", "score").orderBy("doc_id").collect()]
+
+
+def test_psf_license(spark):
+    assert labels_of(spark, ["Python code under the PSF License", "PSF licence.", "a psf file"]) == [("python", 1.0), ("python", 1.0), ("", 0.0)]
+
+
 def test_packing(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
