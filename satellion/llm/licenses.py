@@ -69,14 +69,14 @@ def rules() -> list[tuple[int, str, str, str]]:
         label = family.removesuffix("-name").removesuffix("-short")
         for name in names:
             for v in versions:
-                number = rf"(?:version |v ?)?{v}(?: 0)?"
-                out += [(p, f"{label}-{v.replace(' ', '.')}{tail}", key, f"{a}{name} {number}{b}") for p, a, b, tail in VERSIONED]
+                number = rf"(?: version |(?: ?v)? ?){v}(?: 0)?"  # also joined to the name, as in gplv2
+                out += [(p, f"{label}-{v.replace(' ', '.')}{tail}", key, f"{a}{name}{number}{b}") for p, a, b, tail in VERSIONED]
             out += [(p, label + tail, key, f"{a}{name}{b}") for p, a, b, tail in PLAIN]
     return sorted(out, key=lambda r: r[0])
 
 
 def _gate(low: str) -> Column:
-    """Whether a lower-cased text holds the longest word of any keyword: plain substring tests, and a word test for the shortest one."""
+    """Whether a lower-cased text holds the longest word of any keyword: plain substring tests, and a word test, with or without a joined version, for the shortest ones."""
     words = sorted({max(k.split(), key=len) for _, _, k, _ in rules()} | {max(p.split(), key=len) for p in PHRASES.values()})
     out = F.contains(F.col(low), F.lit("cc")) & F.col(low).rlike("(?<![a-z0-9])cc0?(?![a-z0-9])")
     for w in words:
@@ -84,7 +84,7 @@ def _gate(low: str) -> Column:
             out = out | F.contains(F.col(low), F.lit(w))
     short = [w for w in words if len(w) <= 3 and w not in ("cc", "cc0")]
     for w in short:
-        out = out | (F.contains(F.col(low), F.lit(w)) & F.col(low).rlike(f"(?<![a-z0-9]){w}(?![a-z0-9])"))
+        out = out | (F.contains(F.col(low), F.lit(w)) & F.col(low).rlike(f"(?<![a-z0-9]){w}v?(?:[0-9]|(?![a-z0-9]))"))
     return out
 
 

@@ -164,6 +164,11 @@ def test_psf_license(spark):
     assert labels_of(spark, ["Python code under the PSF License", "PSF licence.", "a psf file"]) == [("python", 1.0), ("python", 1.0), ("", 0.0)]
 
 
+def test_joined_versions(spark):
+    texts = ["GPLv2", "GPLv3 or later", "LGPLv2.1", "AGPLv3", "MPLv2", "mpl2", "GPL v 2", "GPL version 3", "gplx"]
+    assert [x for x, _ in labels_of(spark, texts)] == ["gpl-2", "gpl-3+", "lgpl-2.1", "agpl-3", "mpl-2", "mpl-2", "gpl-2", "gpl-3", ""]
+
+
 def test_packing(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
