@@ -55,6 +55,15 @@ def j24(s, d):
     return a.join(b, ["chrom", "head", "band"]).where("a < b and 10 * abs(na - nb) <= na").select("a", "b")
 
 
+@query("j24_w10_size_band_whole")
+def j24_whole(s, d):
+    """All pairs of a cluster whose pattern sizes are near, whatever their first symbols; sizes are part of the key by bands."""
+    r = refs(s, d).select("ref_id", "chrom", F.length("pattern").alias("n"), F.floor(F.length("pattern") / 8).alias("band"))
+    a = r.select(F.col("ref_id").alias("a"), "chrom", F.col("n").alias("na"), F.explode(F.sequence(F.floor((F.col("n") - F.floor(F.col("n") / 10)) / 8), F.floor((F.col("n") + F.floor(F.col("n") / 10)) / 8))).alias("band"))
+    b = r.select(F.col("ref_id").alias("b"), "chrom", F.col("n").alias("nb"), "band")
+    return a.join(b, ["chrom", "band"]).where("a < b and 10 * abs(na - nb) <= na").select("a", "b")
+
+
 @query("a15_lost_to_ties", sql("SELECT ref_id, count(*) AS n FROM reads GROUP BY 1 HAVING max(CAST(flank_score >= 0.99 AS INTEGER)) = 0"))
 def a15(s, d):
     """References none of whose rows is flagged."""

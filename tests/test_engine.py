@@ -85,3 +85,14 @@ def test_stages_resume_and_errors(spark, tmp_path):
     with pytest.raises(ValueError):
         Config.load("PLOIDY=0")
     assert Config.load("min_support = 3 # x", "MIN_SUPPORT=4", ploidy=1) == Config(min_support=4, ploidy=1)
+
+
+def test_size_band_whole(spark):
+    from satellion.plans import adapters, registry
+
+    d = "/root/testdata/sf0.001"
+    rows = [(r.ref_id, r.chrom, len(r.pattern)) for r in adapters.refs(spark, d).collect()]
+    want = {(a, b) for a, c, n in rows for b, e, m in rows if c == e and a < b and 10 * abs(n - m) <= n}
+    got = [tuple(r) for r in registry.queries()["j24_w10_size_band_whole"](spark, d).collect()]
+    narrow = {tuple(r) for r in registry.queries()["j24_w10_size_band"](spark, d).collect()}
+    assert len(got) == len(want) and set(got) == want and narrow < want
