@@ -158,7 +158,7 @@ def read_trf(spark: SparkSession, path: str) -> DataFrame:
     kinds = dict(first="int", last="int", period="int", copynum="double", patsize="int", matchperc="int", indelperc="int", score="int", n_a="int", n_c="int", n_g="int", n_t="int", entropy="double", pattern="string", sequence="string", left_flank="string", right_flank="string")
     files = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name()).select("file", F.explode(F.filter(F.split("value", "(?m)^@"), lambda x: F.trim(x) != "")).alias("block"))
     lines = F.filter(F.split("block", "\n"), lambda x: F.trim(x) != "")
-    rows = files.select(F.trim(lines[0]).alias("head"), F.posexplode(F.slice(lines, 2, 1 << 20)).alias("nth", "line"))
+    rows = files.select(F.trim(lines[0]).alias("head"), F.posexplode(F.slice(lines, F.lit(2), F.size(lines))).alias("nth", "line"))
     f = F.split(F.trim("line"), " ")
     out = rows.select("head", "nth", *[f[i].cast(t).alias(n) for i, (n, t) in enumerate(kinds.items())])
     return out.withColumns({c: F.when(F.col(c) == ".", "").otherwise(F.col(c)) for c in ("left_flank", "right_flank")})

@@ -96,3 +96,11 @@ def test_size_band_whole(spark):
     got = [tuple(r) for r in registry.queries()["j24_w10_size_band_whole"](spark, d).collect()]
     narrow = {tuple(r) for r in registry.queries()["j24_w10_size_band"](spark, d).collect()}
     assert len(got) == len(want) and set(got) == want and narrow < want
+
+
+def test_detector_output_is_not_cut(spark, tmp_path):
+    from satellion.sources.readers import read_trf
+
+    n = (1 << 20) + 3
+    (tmp_path / "out.dat").write_text("@r1\n" + "1 9 3 3.0 3 100 0 18 3 3 3 0 1.5 ACG ACGACGACG . .\n" * n)
+    assert read_trf(spark, str(tmp_path)).count() == n
