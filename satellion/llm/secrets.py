@@ -2,8 +2,9 @@
 
 DataFrame functions only. Base kinds (assignments, access identifiers, long hex runs) always stand. Weak parts are
 identifiers (such as key ids of other makers), bare 40-character secrets and endpoints. Alone each is common; they are reported
-only when complementary parts stand within one scope: an interval of `scope` code points around the part must meet a part of
-another role (an identifier and a secret, or a secret and an endpoint). A null text is empty and has no spans.
+only when complementary parts stand within one scope: the interval of `scope` code points on either side of the part is joined
+with the intervals of parts of another role (an identifier and a secret, or a secret and an endpoint), by sorted sweeps over both
+sides. Weak parts inside a base span are not reported again. A null text is empty and has no spans.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from satellion.llm.common import set_aside
-from satellion.llm.spans import SPAN, by_start, matches, spans_of
+from satellion.llm.spans import SPAN, by_start, chosen, covered, let, matches, near, spans_of
 
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+"""
 #: kind -> (pattern, gate, filter). Order is the order of kinds.
@@ -27,29 +28,28 @@ WEAK = {
     "weak_endpoint": (r"(?:https?|wss?|amqps?|postgres(?:ql)?|mysql|redis|mongodb)://[^\x00-\x20\"'<>]+", "://", None),
 }
 KINDS = BASE | WEAK
-#: Roles of spans; a weak span needs a span of a complementary role near.
-ROLES = {"access": "id", "weak_id": "id", "assign": "secret", "weak_secret": "secret", "hex": "secret", "weak_endpoint": "endpoint"}
-NEEDS = {"weak_id": ("assign", "weak_secret", "hex"), "weak_secret": ("access", "weak_id", "weak_endpoint"), "weak_endpoint": ("assign", "weak_secret", "hex")}
+#: What may complete a weak part: its own kind first, then the kinds of the other roles.
+SECRETS, OWNERS = ("assign", "weak_secret", "hex"), ("access", "weak_id", "weak_endpoint")
+NEEDS = {"weak_id": SECRETS, "weak_secret": OWNERS, "weak_endpoint": SECRETS}
 
 
 def find_secrets(documents: DataFrame, scope: int = 300) -> DataFrame:
-    """documents with secrets added: spans (kind, ord, start, end, value, score), by start and kind; positions count code points. Extra columns stay; one named secrets is replaced."""
+    """documents with secrets added: spans (kind, ord, start, end, value, score), by start and kind; positions count code points.
+
+    Extra columns stay; one named secrets is replaced. Rows are taken one by one, so repeated rows and null ids have their own
+    spans; an empty table stays empty. Long texts, and many parts in one, cost time nearly in proportion: parts and their complements
+    are joined by sorted sweeps.
+    """
     plain, back = set_aside(documents, ("doc_id", "text"), ("secrets",))
     df = plain.withColumn("_text", F.coalesce("text", F.lit("")))
     df = df.withColumns({f"_{k}": matches("_text", p, F.col("_text").rlike(gate)) for k, (p, gate, _) in KINDS.items()})
-    df = df.withColumn("_all", F.concat(*[spans_of("_text", f"_{k}", p, k, i, keep, 1.0 if k in BASE else 0.5) for i, (k, (p, _, keep)) in enumerate(KINDS.items())]))
-    # cells of the scope's length that parts of each kind cover: an interval meets another if cells agree, then exactly
-    base = F.filter("_all", lambda s: s["kind"].isin(*BASE))
-    weak = F.filter("_all", lambda s: ~s["kind"].isin(*BASE))
-
-    def complements(w: Column) -> Column:
-        fits = lambda s: ((w["start"] - s["end"]) <= scope) & ((s["start"] - w["end"]) <= scope)
-        free = lambda s: (s["end"] <= w["start"]) | (s["start"] >= w["end"])
-        ok = F.lit(False)
-        for kind, needs in NEEDS.items():
-            ok = ok | ((w["kind"] == kind) & F.exists("_all", lambda s: s["kind"].isin(*needs) & fits(s) & free(s)))
-        return ok & ~F.exists(base, lambda s: (s["start"] <= w["start"]) & (s["end"] >= w["end"]))
-
-    linked = F.when(F.size(weak) > 0, F.filter(weak, complements)).otherwise(F.array().cast(SPAN))
-    df = df.withColumn("secrets", F.when(F.size("_all") > 0, by_start(F.concat(base, linked))).otherwise(F.array().cast(SPAN)))
-    return back(df)
+    df = df.withColumns({f"_{k}": spans_of("_text", f"_{k}", p, k, i, keep, 1.0 if k in BASE else 0.5) for i, (k, (p, _, keep)) in enumerate(KINDS.items())})
+    base = F.concat(*[F.col(f"_{k}") for k in BASE])
+
+    def linked(kind: str) -> Column:
+        own, others = F.col(f"_{kind}"), F.concat(*[F.col(f"_{k}") for k in NEEDS[kind]])
+        beside = let(others, lambda o: near(own, o, scope))
+        inside = let(base, lambda b: covered(own, b))
+        return F.when((F.size(own) > 0) & (F.size(others) > 0), chosen(own, F.zip_with(beside, inside, lambda x, y: x & ~y))).otherwise(F.array().cast(SPAN))
+
+    return back(df.withColumn("secrets", by_start(F.concat(base, *[linked(k) for k in WEAK]))))
