@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from satellion.functions.storing import shared_dir, store  # noqa: F401
+from satellion.functions.storing import discard, shared_dir, store  # noqa: F401
 
 #: White space of the word contracts: blank, tab, line feed, vertical tab, form feed, return.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -18,7 +18,8 @@ _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _P = np.uint64(0x9E3779B97F4A7C15)
-_PINV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: The lowest 0 to 8 bytes of a word of eight.
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
 
 def count_words(text: Column, gaps: str) -> Column:
@@ -45,11 +46,11 @@ def set_aside(df: DataFrame, used: tuple[str, ...], made: tuple[str, ...] = ())
     return df.select(*[quoted(c).alias(n) for c, n in names.items()]), back
 
 
-def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, fit_rows: int) -> DataFrame:
-    """(doc_id, text, y) of at most fit_rows training rows, chosen by id hash; the ids are chosen from the small table first.
+def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, fit_rows: int, longest: int | None = None) -> DataFrame:
+    """(doc_id, text, y, h) of the training rows of at most fit_rows ids, chosen by id hash; the ids are chosen from the small table first.
 
-    fit_rows bounds what is broadcast. Rows without a label or a document are left out; contradicting
-    labels of one id count by their maximum.
+    Texts longer than `longest` characters are left out. Rows without a label or a document are left out; contradicting
+    labels of one id count by their maximum. Ids may repeat: the first fit_rows rows by h, a hash of id and text, are a fair sample.
     """
     ids = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
@@ -58,7 +59,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, fit_row
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     )
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return docs.join(F.broadcast(ids), "doc_id")
+    docs = docs if longest is None else docs.where(F.length("text") <= longest)
+    return docs.join(F.broadcast(ids), "doc_id").withColumn("h", F.xxhash64("doc_id", "text"))
 
 
 def mix64(h: np.ndarray) -> np.ndarray:
@@ -70,18 +72,6 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def powers(base: np.uint64, n: int, cache: dict = {}) -> np.ndarray:  # noqa: B006  one table per worker
-    """base**0 .. base**(n-1) modulo 2**64."""
-    have = cache.get(int(base))
-    if have is None or len(have) < n:
-        size = max(n, 1 << 16)
-        have = np.full(size, base, dtype=np.uint64)
-        have[0] = 1
-        have = np.multiply.accumulate(have)
-        cache[int(base)] = have
-    return have[:n]
-
-
 def batches(texts: list[str | None], limit: int = 1 << 21):
     """Slices (i, j) of texts of at most about limit characters, one text at least."""
     i, size = 0, 0
@@ -104,15 +94,28 @@ def joined_bytes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(texts: list[str | None], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of all texts, in order, and the position of each text's first word (one more than texts)."""
+    """64-bit hashes of the words of all texts, in order, and the position of each text's first word (one more than texts).
+
+    Bytes go in by eights, and each eight is mixed into the word's hash by a finalizer, so no two words are equal by construction
+    but for chance collisions of 64-bit hashes.
+    """
     data, starts = joined_bytes(texts)
     if lower:
         data = _LOWER[data]
     space = _SPACE[data]
     inner = ~space
     first = np.flatnonzero(inner & np.concatenate(([True], space[:-1])))
-    last = np.flatnonzero(inner & np.concatenate((space[1:], [True]))) + 1
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_P, len(data)), out=total[1:])
-    h = (total[last] - total[first]) * powers(_PINV, len(data) + 1)[first]
-    return mix64(h ^ ((last - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))), np.searchsorted(first, starts)
+    size = np.flatnonzero(inner & np.concatenate((space[1:], [True]))) + 1 - first
+    padded = np.concatenate((data, np.zeros(8, dtype=np.uint8)))
+    eights = np.lib.stride_tricks.as_strided(padded.view(np.uint8), (len(data), 8), (1, 1))
+    h = mix64(size.astype(np.uint64) * _P)
+    open_ = np.arange(len(first))
+    step = 0
+    while len(open_):
+        at = first[open_] + 8 * step
+        left = np.minimum(size[open_] - 8 * step, 8)
+        part = np.ascontiguousarray(eights[at]).view("<u8").ravel() & _MASKS[left]
+        h[open_] = mix64((h[open_] ^ part) + _P)
+        step += 1
+        open_ = open_[size[open_] > 8 * step]
+    return h, np.searchsorted(first, starts)

@@ -101,16 +101,16 @@ def vote(model: dict, texts: list[str | None], k: int, block: int = 256) -> np.n
 
 
 def train(documents: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: int = 3000, dims: int = 32) -> dict | None:
-    """Fits on at most fit_rows labelled rows; terms are counted on the executors."""
+    """Fits on at most fit_rows labelled ids and rows, chosen by hash; terms are counted on the executors."""
 
     def count(parts):
         for pdf in parts:
             tf = term_counts(pdf.text.tolist())
             rows = [np.flatnonzero(r) for r in tf]
-            yield pd.DataFrame({"y": pdf.y, "doc_id": pdf.doc_id, "at": [r.astype(np.int32) for r in rows], "tf": [t[r] for t, r in zip(tf, rows)]})
+            yield pd.DataFrame({"y": pdf.y, "doc_id": pdf.doc_id, "h": pdf.h, "at": [r.astype(np.int32) for r in rows], "tf": [t[r] for t, r in zip(tf, rows)]})
 
     sample = labelled_sample(documents, labels, label, fit_rows)
-    rows = sample.mapInPandas(count, "y int, doc_id long, at array<int>, tf array<float>").orderBy("doc_id", "at").limit(2 * fit_rows).toPandas()
+    rows = sample.mapInPandas(count, "y int, doc_id long, h long, at array<int>, tf array<float>").orderBy("h", "doc_id", "at").limit(fit_rows).toPandas()
     if not len(rows):
         return None
     tf = np.zeros((len(rows), N_TERMS), dtype=np.float32)
@@ -122,7 +122,8 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "quality", fit_r
 def score_quality(documents: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = 0.3, fit_rows: int = 3000, dims: int = 32, k: int = 15) -> DataFrame:
     """documents with held_out, score and predicted added, extra columns kept (columns of these names are replaced).
 
-    fit_rows bounds the labelled sample, dims its vectors; nothing else is limited.
+    fit_rows bounds the labelled sample (ids and rows, chosen by hash), dims its vectors; nothing else is limited. Every whole text is
+    scored by itself, so repeated rows score alike; rows with a null id count as held out; an empty table stays empty.
     """
     ship(documents.sparkSession)
     model = train(documents, labels, label, fit_rows, dims)

@@ -61,10 +61,11 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not len(word):
         return codes, np.zeros(1, np.int64), np.zeros(len(texts) + 1, np.int64)
     new = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-    # a word said again and again counts once, else a stammer would outvote its passage
+    # a word said again and again counts once, else a stammer would outvote its passage; a text's first word is always new
     each = np.diff(np.concatenate((new, [len(codes)])))
     sign = np.add.reduceat(codes * 7919 % 1000003, new)
-    fresh = np.concatenate(([True], (sign[1:] != sign[:-1]) | (each[1:] != each[:-1])))
+    text = np.searchsorted(starts, where[new], side="right")
+    fresh = np.concatenate(([True], (sign[1:] != sign[:-1]) | (each[1:] != each[:-1]) | (text[1:] != text[:-1])))
     codes, place, each = codes[np.repeat(fresh, each)], where[new][fresh], each[fresh]
     return codes, np.concatenate(([0], np.cumsum(each))), np.searchsorted(place, starts)
 
@@ -156,13 +157,15 @@ def score_texts(model: dict, texts: list[str | None]) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(out, -500, 500)))
 
 
-def score_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = 0.5, fit_rows: int = 4000, window: int = 6) -> DataFrame:
+def score_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = 0.5, fit_rows: int = 4000, longest: int = 20000, window: int = 2) -> DataFrame:
     """documents with held_out, score and predicted added, extra columns kept (columns of these names are replaced).
 
-    fit_rows bounds the labelled sample; every whole text is scored.
+    The labelled sample has fit_rows ids and rows at most, chosen by hash, of texts of `longest` characters at most, so what goes to
+    the driver is bounded by both. Every whole text is scored, each by itself: repeated rows score alike, whatever stands beside
+    them. Rows with a null id count as held out. An empty table stays empty.
     """
     ship(documents.sparkSession)
-    rows = labelled_sample(documents, labels, label, fit_rows).orderBy("doc_id", "text").limit(2 * fit_rows).toPandas()
+    rows = labelled_sample(documents, labels, label, fit_rows, longest).orderBy("h", "doc_id", "text").limit(fit_rows).toPandas()
     if not len(rows):
         scored = documents.withColumn("score", F.lit(0.5))
     else:
