@@ -9,7 +9,7 @@
    coordinate minima of a query and a node's upper corner bound the overlap of all points below the node. Blocks are
    cut into tiles of bounded size; every pair of tiles is a task of its own, so hot blocks are split and nothing is capped.
 5. Surviving pairs are verified on whole texts, and links become components.
-6. To count links, classes of one star component meet in tiles too, and whole sets are compared there.
+6. To count links, classes of one star component meet in tiles too, by their differences from one of them.
 
 Ids stand for rows: rows that share an id are one document. Rows with a null id are returned unlinked, with a
 null component. Null texts, and texts without words, have an empty set.
@@ -18,7 +18,6 @@ null component. Null texts, and texts without words, have an empty set.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -26,12 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from satellion.functions.shipping import ship
-from satellion.llm.common import batches, mix64, store, word_hashes
+from satellion.llm.common import batches, mix64, set_aside, store, word_hashes
 from satellion.llm.components import components
 
 N, BANDS, ROWS, TILE = 5, 8, 3, 1024
-#: Of links inside components: classes and shingles of a tile, and the most sets of a shingle that is counted by pairs.
-INNER, INNER_SHINGLES, FEW = 512, 1 << 20, 64
+#: Of links inside components: classes and elements of a tile, the most pairs of sets of an element that is counted by pairs, and pairs counted at once.
+INNER, INNER_SHINGLES, FEW, PAIRS = 1024, 1 << 20, 4096, 1 << 21
 _MIX = [np.uint64(pow(0x9E3779B97F4A7C15, 2 * k + 3, 1 << 64)) for k in range(N)]
 _MINH = [np.uint64(pow(0xD1342543DE82EF95, k + 1, 1 << 64)) for k in range(BANDS * ROWS)]
 _KEY = np.uint64((1 << 48) - 1)
@@ -63,40 +62,43 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
-    """How many elements any two different sets share. Elements of few sets are counted by pairs of these sets, others by matrix products."""
-    m = len(sets)
-    flat = np.concatenate(sets)
-    order = np.argsort(flat, kind="stable")
-    flat, who = flat[order], np.repeat(np.arange(m), [len(s) for s in sets])[order]
-    begin = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])[: len(flat)])
-    often = np.diff(np.append(begin, len(flat)))
-    pairs = np.zeros(m * m, dtype=np.int64)
-    for d in np.unique(often[(often > 1) & (often <= FEW)]):
-        at = begin[often == d]
-        x, y = np.triu_indices(d, 1)
-        step = max(1, (1 << 20) // len(x))
-        for k in range(0, len(at), step):
-            g = who[at[k : k + step, None] + np.arange(d)]
-            pairs += np.bincount((g[:, x] * m + g[:, y]).ravel(), minlength=m * m)
-    out = pairs.reshape(m, m)
-    out = out + out.T
-    at, d = begin[often > FEW], often[often > FEW]
-    for k in range(0, len(at), 4096):
-        n = d[k : k + 4096]
-        column = np.repeat(np.arange(len(n)), n)
-        place = np.repeat(at[k : k + 4096] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        has = np.zeros((m, len(n)), dtype=np.float32)
-        has[who[place], column] = 1
-        out += (has @ has.T).astype(np.int64)
-    return out
-
-
-def all_linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """`linked` of any two of the sets, as a matrix; false on its diagonal."""
-    n, both = np.array([len(s) for s in sets]), shared_counts(sets)
-    out = 100 * both >= percent * (n[:, None] + n - both)
-    np.fill_diagonal(out, False)
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of left shares with each of right. Elements of few sets are counted pair by pair, others by matrix products."""
+    out = np.zeros((len(left), len(right)), dtype=np.int64)
+    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    if not len(both):
+        return out
+
+    def owners(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sets by element of both, the first of each element's, and how many it has."""
+        flat, who = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.minimum(np.searchsorted(both, flat), len(both) - 1)
+        keep = both[at] == flat
+        at, who = at[keep], who[keep]
+        often = np.bincount(at, minlength=len(both))
+        return who[np.argsort(at, kind="stable")], np.cumsum(often) - often, often
+
+    (who_l, first_l, n_l), (who_r, first_r, n_r) = owners(left), owners(right)
+    work = n_l * n_r
+    few = np.flatnonzero(work <= FEW)
+    cut = np.searchsorted(np.cumsum(work[few]), np.arange(PAIRS, work[few].sum() + PAIRS, PAIRS), side="right")
+    for a, b in zip(np.append(0, cut[:-1]), cut):
+        e = few[a:b]
+        each = work[e]
+        t = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        wide = np.repeat(n_r[e], each)
+        x, y = who_l[np.repeat(first_l[e], each) + t // wide], who_r[np.repeat(first_r[e], each) + t % wide]
+        out += np.bincount(x * len(right) + y, minlength=out.size).reshape(out.shape)
+    many = np.flatnonzero(work > FEW)
+    for k in range(0, len(many), 1024):
+        e = many[k : k + 1024]
+        has = []
+        for who, first, n, m in ((who_l, first_l, n_l, len(left)), (who_r, first_r, n_r, len(right))):
+            h = np.zeros((m, len(e)), dtype=np.float32)
+            column = np.repeat(np.arange(len(e)), n[e])
+            h[who[np.repeat(first[e] - np.cumsum(n[e]) + n[e], n[e]) + np.arange(n[e].sum())], column] = 1
+            has.append(h)
+        out += (has[0] @ has[1].T).astype(np.int64)
     return out
 
 
@@ -351,36 +353,79 @@ def candidates(reps: DataFrame, percent: int) -> DataFrame:
     return spread.repartition(*keys).sortWithinPartitions(*keys, "part", "id").mapInPandas(search, "a long, b long").distinct()
 
 
+def differences(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(comp, id, copies, c, n, lost, diff) of nodes(id, comp, copies): the size of the set of the component's smallest id, the size of the node's own set, how many of
+    the former's elements it lacks, and all elements that only one of both has.
+
+    The smallest id's text meets the texts of its component, a thousand or so a task.
+    """
+    salts = nodes.groupBy("comp").agg(F.count("*").alias("m"), F.ceil(F.count("*") / TILE).cast("int").alias("salts")).where("m > 2")  # two are a component by the one link between them
+    member = nodes.join(salts, "comp").select("comp", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"), "id", "copies")
+    centre = salts.select("comp", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"), F.col("comp").alias("id"), F.lit(0).cast("long").alias("copies"))
+    roles = store(member.union(centre))
+    texts = with_ids(docs, roles.select("id")).join(roles, F.col("doc_id") == F.col("id"))
+    dealt = texts.select("comp", "salt", "role", "id", "copies", "text").repartition(F.col("comp"), F.col("salt")).sortWithinPartitions("comp", "salt", "role", "id")
+
+    def run(parts):
+        now, base = None, None
+        for pdf in parts:
+            out = []
+            for comp, salt, role, i, copies, s in zip(pdf.comp, pdf.salt, pdf.role, pdf.id, pdf.copies, shingle_sets(pdf.text.tolist())):
+                if (comp, salt) != now:
+                    now, base = (comp, salt), None
+                if role == 0:
+                    # where rows share the id, one set of them, the same in every task
+                    base = s if base is None or (len(s), s.tobytes()) < (len(base), base.tobytes()) else base
+                else:
+                    lost = np.setdiff1d(base, s, assume_unique=True)
+                    more = np.setdiff1d(s, base, assume_unique=True)
+                    out.append((comp, i, copies, len(base), len(s), len(lost), np.concatenate((lost, more)).view(np.int64)))
+            yield pd.DataFrame(out, columns=["comp", "id", "copies", "c", "n", "lost", "diff"])
+
+    return dealt.mapInPandas(run, "comp long, id long, copies long, c long, n long, lost long, diff array<long>")
+
+
 def inner_links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """(id, n): how many documents of other classes of its component link with a class, in parts that add up. nodes(id, comp, n, copies).
+    """(id, n): how many documents of other classes of its component link with a class, in parts that add up. nodes(id, comp, copies).
 
-    Components are cut into tiles, and every pair of tiles is a task in which all whole sets meet; only counts leave it.
+    Sets of a component are mostly alike, so each is told by its difference from one of them: two sets share c - lost - lost + (what
+    their differences share). Components are cut into tiles, and every pair of tiles is a task in which all differences meet; only counts leave it.
     """
-    tiles = nodes.groupBy("comp").agg(F.count("*").alias("m"), F.greatest(F.ceil(F.count("*") / INNER), F.ceil(F.sum("n") / INNER_SHINGLES)).cast("int").alias("tiles"))
-    # two classes are a component by the one link between them
-    large = nodes.join(tiles.where("m > 2"), "comp").withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
-    roles = store(large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
-        "comp", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), (F.col("tile") > F.col("other")).cast("int").alias("part"), "id", "copies"))
+    diffs = store(differences(docs, nodes))
+    tiles = diffs.groupBy("comp").agg(F.greatest(F.ceil(F.count("*") / INNER), F.ceil(F.sum(F.size("diff")) / INNER_SHINGLES)).cast("int").alias("tiles"))
     keys = ["comp", "i", "j"]
-    dealt = with_ids(docs, roles.select("id")).join(roles, F.col("doc_id") == F.col("id")).select(*keys, "part", "id", "copies", "text").repartition(*keys).sortWithinPartitions(*keys, "part", "id")
+    dealt = (
+        diffs.join(tiles, "comp").withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        .select("comp", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), (F.col("tile") > F.col("other")).cast("int").alias("part"), "id", "copies", "c", "n", "lost", "diff")
+        .repartition(*keys).sortWithinPartitions(*keys, "part", "id")
+    )
+
+    def meet(ids, copies, c, n, lost, sets, x: slice, y: slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Heads of the ids of x and y, and which of them link."""
+        both = c - lost[x, None] - lost[None, y] + shared_counts(sets[x], sets[y])
+        link = 100 * both >= percent * (n[x, None] + n[None, y] - both)
+        heads = [np.flatnonzero(np.append(True, i[1:] != i[:-1])) for i in (ids[x], ids[y])]
+        return *heads, np.logical_or.reduceat(np.logical_or.reduceat(link, heads[0], axis=0), heads[1], axis=1)
 
     def run(parts):
         for pdf in runs(parts, keys):
-            at, sets = starts_of(pdf, keys), shingle_sets(pdf.text.tolist())
-            ids, part, copies = (pdf[x].to_numpy() for x in ("id", "part", "copies"))
+            at = starts_of(pdf, keys)
+            ids, part, copies, c, n, lost = (pdf[x].to_numpy() for x in ("id", "part", "copies", "c", "n", "lost"))
+            sets = [np.asarray(d, dtype=np.int64).view(np.uint64) for d in pdf["diff"]]
             across = (pdf.i != pdf.j).to_numpy()
             out = []
             for a, b in zip(at[:-1], at[1:]):
-                link = all_linked(list(islice(sets, int(b - a))), percent)
-                head = np.flatnonzero(np.append(True, ids[a + 1 : b] != ids[a : b - 1]))
-                if len(head) < b - a:  # rows of one id
-                    link = np.logical_or.reduceat(np.logical_or.reduceat(link, head, axis=0), head, axis=1)
+                mid = a + int((part[a:b] == 0).sum()) if across[a] else b
+                if across[a] and mid in (a, b):
+                    continue
+                x, y = (slice(a, mid), slice(mid, b)) if across[a] else (slice(a, b), slice(a, b))
+                hx, hy, link = meet(ids, copies, c[a], n, lost, sets, x, y)
+                if not across[a]:
                     np.fill_diagonal(link, False)
-                p = part[a:b][head]
-                if across[a]:
-                    link &= p[:, None] != p
-                out.append(np.stack((ids[a:b][head], link @ copies[a:b][head]), 1))
-            rows = np.concatenate(out)
+                else:
+                    out.append(np.stack((ids[y][hy], link.T @ copies[x][hx]), 1))
+                out.append(np.stack((ids[x][hx], link @ copies[y][hy]), 1))
+            rows = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
             yield pd.DataFrame({"id": rows[:, 0], "n": rows[:, 1]})
 
     return dealt.mapInPandas(run, "id long, n long")
@@ -390,7 +435,8 @@ def jaccard_join(documents: DataFrame, percent: int = 75, sample_docs: int = 400
     """(doc_id, n_shingles, component_id, n_links) for each row of documents; without n_links where links aren't counted.
 
     n_links is the number of other documents whose sets link with the row's, copies of either included. Rows with a null id have none.
-    Where different texts share an id, a class that this id represents has the links of all these texts.
+    Where different texts share an id, a class that this id represents has the links of all these texts. Whole texts count, however long; other
+    columns are not read; an empty table stays empty.
     """
     ship(documents.sparkSession)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -414,7 +460,7 @@ def jaccard_join(documents: DataFrame, percent: int = 75, sample_docs: int = 400
         sizes = all_rows.where("n > 0 and doc_id is not null").select("s1", "s2", "doc_id").distinct().groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
         # classes of one representative share it
         sizes = store(sizes.groupBy("rep").agg((F.sum("copies") - F.count("*") + 1).alias("copies")))
-        nodes = store(comp.join(reps.groupBy("id").agg(F.max("n").alias("n")), "id").join(sizes.withColumnRenamed("rep", "id"), "id"))
+        nodes = store(comp.join(sizes.withColumnRenamed("rep", "id"), "id"))
         two = nodes.groupBy("comp").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count("*").alias("m")).where("m = 2").select("a", "b")
         pairs = across.union(two)
         outer = pairs.union(pairs.select("b", "a")).join(sizes, F.col("b") == F.col("rep")).select(F.col("a").alias("id"), F.col("copies").alias("n"))
@@ -441,8 +487,11 @@ def _same_id(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(documents: DataFrame, percent: int = 75) -> DataFrame:
-    """One document of each component stays: the one with the smallest id, and one row of it. Rows with a null id stay."""
+    """One document of each component stays: the one with the smallest id, and of rows that share it the one with the smallest text, then the smallest hash of its other columns. Rows with a null id stay."""
     kept = jaccard_join(documents, percent, count_links=False).where("doc_id = component_id").select(F.col("doc_id").alias("keep_id")).distinct()
-    ids = documents.where("doc_id is not null")
-    rest = ids.join(kept, ids.doc_id == kept.keep_id, "left_semi").dropDuplicates(["doc_id"])
-    return rest.union(documents.where("doc_id is null"))
+    plain, back = set_aside(documents, ("doc_id", "text"))
+    named = plain.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("keep_id"), "left_semi")
+    others = [F.col(c) for c, t in plain.dtypes if c not in ("doc_id", "text") and "map<" not in t and t != "variant"]
+    order = F.struct(F.col("text"), F.xxhash64(F.lit(0), *others))
+    rest = named.groupBy("doc_id").agg(F.min_by(F.struct(*plain.columns), order).alias("row")).select("row.*")
+    return back(rest.union(plain.where("doc_id is null")))
