@@ -1,7 +1,9 @@
 """Media columns: texts as lossless WebP files, and features of the pixels read back.
 
-A text's UTF-8 bytes, padded with blanks to a positive multiple of 192, are rows of 64 opaque pixels. A file holds 16384
-rows at most, so longer texts are several files, one after the other. Null texts are empty.
+A text's UTF-8 bytes, padded with blanks to a positive multiple of 192, are rows of 64 opaque pixels. A picture has 16384
+rows at most, so rows of longer texts are as many times 64 pixels wide as need be, up to some 800 MB; what then stays free in the
+last row is transparent and not read. Null texts are empty. Rows are taken one by one: repeated rows have equal values, rows with a null id keep it,
+and an empty table stays empty. Only doc_id and text are read, so other columns don't matter.
 """
 
 from __future__ import annotations
@@ -24,18 +26,19 @@ def to_media(text: str | None) -> tuple[bytes, int]:
     """The stored form and the number of bytes before padding."""
     raw = (text or "").encode("utf-8", "surrogatepass")
     size = max(1, -(-len(raw) // (3 * WIDTH)))
-    rows = np.frombuffer(raw.ljust(size * 3 * WIDTH, b" "), dtype=np.uint8).reshape(size, WIDTH, 3)
-    return b"".join(webp.encode_plain(rows[k : k + webp.MAX_SIDE]) for k in range(0, size, webp.MAX_SIDE)), len(raw)
+    wide = -(-size // webp.MAX_SIDE)
+    if wide * WIDTH > webp.MAX_SIDE:
+        raise ValueError("a text of more bytes than a picture holds")
+    pixels = np.zeros((-(-size // wide) * wide * WIDTH, 4), dtype=np.uint8)
+    pixels[: size * WIDTH, :3] = np.frombuffer(raw.ljust(size * 3 * WIDTH, b" "), dtype=np.uint8).reshape(-1, 3)
+    pixels[: size * WIDTH, 3] = 255
+    return webp.encode_small(pixels.reshape(-1, wide * WIDTH, 4)), len(raw)
 
 
 def read_media(stored: bytes) -> np.ndarray:
     """Pixels (rows, 64, 3) of the stored form."""
-    out, at = [], 0
-    while at < len(stored):
-        end = at + 8 + int.from_bytes(stored[at + 4 : at + 8], "little")
-        out.append(webp.decode(stored[at:end])[:, :, :3])
-        at = end
-    return np.concatenate(out) if len(out) > 1 else out[0]
+    pixels = webp.decode(stored).reshape(-1, 4)
+    return pixels[pixels[:, 3] == 255, :3].reshape(-1, WIDTH, 3)
 
 
 def feature(pixels: np.ndarray) -> str:

@@ -1,14 +1,11 @@
 """Lossless WebP: a reader for prefix codes, back-references, colour cache and all four transforms, and a writer for them.
 
-Pixels are uint8 arrays (height, width, 4) in the order red, green, blue, alpha. The reader takes the usual symbol-by-symbol way,
-except that a picture whose codes are all eight bits or none long, without other symbols, is read as an array.
+Pixels are uint8 arrays (height, width, 4) in the order red, green, blue, alpha. `encode` writes a file with given transforms;
+`encode_small` chooses them by the entropy they leave.
 """
 
 from __future__ import annotations
 
-import functools
-import heapq
-
 import numpy as np
 
 #: Fixed values of the format.
@@ -19,69 +16,68 @@ MAX_SIDE = 1 << 14
 
 #: Near places by distance, then columns off, right before left: 120 distance codes.
 NEAR = sorted(((x, y) for y in range(8) for x in range(-7, 9) if y or x > 0), key=lambda p: (p[0] ** 2 + p[1] ** 2, abs(p[0]), p[0] < 0))
-_REVERSED = np.array([int(f"{b:08b}"[::-1], 2) for b in range(256)], dtype=np.uint8)
+
+
+#: Fifteen bits the other way round; a shorter code is taken as the leading ones.
+_TURNED = np.zeros(1 << 15, dtype=np.int64)
+for _k in range(15):
+    _TURNED |= (np.arange(1 << 15) >> _k & 1) << (14 - _k)
 
 
 class Bits:
     """Reads bits, lowest first."""
 
     def __init__(self, data: bytes):
-        self.data, self.at = data, 0
+        self.data, self.at, self.end = data, 0, 8 * len(data)
 
     def read(self, n: int) -> int:
         a, self.at = self.at, self.at + n
-        if self.at > 8 * len(self.data):
+        if self.at > self.end:
             raise ValueError("the stream ends early")
         return int.from_bytes(self.data[a >> 3 : (self.at + 7) >> 3], "little") >> (a & 7) & ((1 << n) - 1)
 
 
+def canonical(lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes, first bit lowest, and their lengths by symbol; the only symbol of a code has no bits."""
+    n = np.array(lengths, dtype=np.int64)
+    used = np.flatnonzero(n)
+    codes = np.zeros(len(n), dtype=np.int64)
+    if len(used) < 2:
+        return codes, np.zeros(len(n), dtype=np.int64)
+    order = used[np.argsort(n[used], kind="stable")]
+    longest = int(n[order[-1]])
+    step = np.int64(1) << (longest - n[order])
+    first = np.cumsum(step) - step
+    if first[-1] + step[-1] != 1 << longest:
+        raise ValueError("the prefix code isn't complete")
+    codes[order] = _TURNED[first << (15 - longest)]
+    return codes, n
+
+
 class Code:
-    """A canonical prefix code from its lengths."""
-
-    def __init__(self, lengths: list[int] | tuple[int, ...]):
-        used = [(n, s) for s, n in enumerate(lengths) if n]
-        self.single = used[0][1] if len(used) == 1 else 0 if not used else None
-        self.lengths, self.longest = lengths, max((n for n, _ in used), default=0)
-        self.table: dict[tuple[int, int], int] = {}
-        self.codes: dict[int, tuple[int, int]] = {}
-        code = last = 0
-        for n, s in sorted(used):
-            code <<= n - last
-            last = n
-            turned = int(f"{code:0{n}b}"[::-1], 2)
-            self.table[n, turned] = s
-            self.codes[s] = (turned, n)
-            code += 1
-        if len(used) > 1 and code != 1 << last:
-            raise ValueError("the prefix code isn't complete")
-        if self.single is not None:
-            self.codes = {self.single: (0, 0)}
+    """Reads a canonical prefix code through a table: symbol << 4 | length by the next bits."""
+
+    def __init__(self, lengths: list[int]):
+        codes, n = canonical(lengths)
+        longest = int(n.max(initial=0))
+        self.mask = (1 << longest) - 1
+        if not longest:
+            self.table = [next((s for s, x in enumerate(lengths) if x), 0) << 4]
+            return
+        used = np.flatnonzero(n)
+        each = 1 << (longest - n[used])
+        nth = np.arange(1 << longest) - np.repeat(np.cumsum(each) - each, each)
+        table = np.empty(1 << longest, dtype=np.int64)
+        table[np.repeat(codes[used], each) | nth << np.repeat(n[used], each)] = np.repeat(used << 4 | n[used], each)
+        self.table = table.tolist()
 
     def read(self, bits: Bits) -> int:
-        if self.single is not None:
-            return self.single
-        code = 0
-        for n in range(1, self.longest + 1):
-            code |= bits.read(1) << (n - 1)
-            if (s := self.table.get((n, code))) is not None:
-                return s
-        raise ValueError("no such code")
-
-    @functools.cached_property
-    def bytes_table(self) -> np.ndarray | None:
-        """Symbol by eight bits as read, if every code is that long and below 256."""
-        if len(self.codes) != 256 or any(n != 8 for _, n in self.codes.values()) or max(self.codes) > 255:
-            return None
-        out = np.zeros(256, dtype=np.uint8)
-        for s, (c, _) in self.codes.items():
-            out[c] = s
-        return out
-
-
-@functools.lru_cache(512)
-def code_of(lengths: tuple[int, ...]) -> Code:
-    """Codes that many pictures share are made once."""
-    return Code(lengths)
+        at = bits.at
+        t = self.table[int.from_bytes(bits.data[at >> 3 : (at >> 3) + 3], "little") >> (at & 7) & self.mask]
+        bits.at = at + (t & 15)
+        if bits.at > bits.end:
+            raise ValueError("the stream ends early")
+        return t >> 4
 
 
 def read_code(bits: Bits, symbols: int) -> Code:
@@ -91,11 +87,11 @@ def read_code(bits: Bits, symbols: int) -> Code:
         lengths[bits.read(8 if wide else 1)] = 1
         if two:
             lengths[bits.read(8)] = 1
-        return code_of(tuple(lengths))
+        return Code(lengths)
     first = [0] * 19
     for k in range(4 + bits.read(4)):
         first[CODE_LENGTH_ORDER[k]] = bits.read(3)
-    outer = code_of(tuple(first))
+    outer = Code(first)
     left = 2 + bits.read(2 + 2 * bits.read(3)) if bits.read(1) else symbols
     at, before = 0, 8
     while at < symbols and left:
@@ -111,7 +107,7 @@ def read_code(bits: Bits, symbols: int) -> Code:
                 raise ValueError("too many code lengths")
             lengths[at : at + times] = [value] * times
             at += times
-    return code_of(tuple(lengths))
+    return Code(lengths)
 
 
 def _repeat(bits: Bits, n: int, before: int) -> tuple[int, int]:
@@ -141,59 +137,55 @@ def read_picture(bits: Bits, width: int, height: int, outer: bool) -> np.ndarray
     if outer and bits.read(1):
         shift = bits.read(3) + 2
         entropy = read_picture(bits, -(-width >> shift), -(-height >> shift), False).astype(np.int64)
-        choice = entropy[:, :, 0] << 8 | entropy[:, :, 1]
-        groups = int(choice.max()) + 1
+        choice = (entropy[:, :, 0] << 8 | entropy[:, :, 1]).tolist()
+        groups = max(map(max, choice)) + 1
     codes = [[read_code(bits, n) for n in (280 + (1 << cache_bits if cache_bits else 0), 256, 256, 256, 40)] for _ in range(groups)]
     total = width * height
-    if groups == 1 and not cache_bits and (plain := _read_plain(bits, codes[0], total)) is not None:
-        return plain.reshape(height, width, 4)
-    out = [0] * total
+    out: list[int] = []
     cache = [0] * (1 << cache_bits) if cache_bits else None
-    at = 0
+    (green, red, blue, alpha, far), data, pos, end, down = codes[0], bits.data, bits.at, bits.end, 32 - cache_bits
+    (g, gm), (r, rm), (b, bm), (a, am) = ((c.table, c.mask) for c in (green, red, blue, alpha))
+    put, at = out.append, 0
     while at < total:
-        group = codes[0] if choice is None else codes[choice[(at // width) >> shift, (at % width) >> shift]]
-        s = group[0].read(bits)
+        if choice is not None:
+            green, red, blue, alpha, far = codes[choice[(at // width) >> shift][(at % width) >> shift]]
+            (g, gm), (r, rm), (b, bm), (a, am) = ((c.table, c.mask) for c in (green, red, blue, alpha))
+        x = int.from_bytes(data[pos >> 3 : (pos >> 3) + 9], "little") >> (pos & 7)
+        t = g[x & gm]
+        n, s = t & 15, t >> 4
         if s < 256:
-            r, b, a = group[1].read(bits), group[2].read(bits), group[3].read(bits)
-            new = [a << 24 | r << 16 | s << 8 | b]
+            x >>= n
+            u = r[x & rm]
+            x >>= u & 15
+            v = b[x & bm]
+            w = a[x >> (v & 15) & am]
+            pos += n + (u & 15) + (v & 15) + (w & 15)
+            p = w >> 4 << 24 | u >> 4 << 16 | s << 8 | v >> 4
+            put(p)
+            at += 1
+            if cache is not None:
+                cache[(CACHE_HASH * p & 0xFFFFFFFF) >> down] = p
         elif s < 280:
+            bits.at = pos + n
             n = prefixed(bits, s - 256)
-            d = place_of(prefixed(bits, group[4].read(bits)), width)
+            d = place_of(prefixed(bits, far.read(bits)), width)
+            pos = bits.at
             if d > at or at + n > total:
                 raise ValueError("a back-reference leaves the picture")
-            new = (out[at - d : at] * (n // d + 1))[:n]
+            new = (out[at - d :] * (n // d + 1))[:n]
+            out += new
+            at += n
+            if cache is not None:
+                for p in new:
+                    cache[(CACHE_HASH * p & 0xFFFFFFFF) >> down] = p
         else:
-            new = [cache[s - 280]]
-        out[at : at + len(new)] = new
-        at += len(new)
-        if cache is not None:
-            for p in new:
-                cache[(CACHE_HASH * p & 0xFFFFFFFF) >> (32 - cache_bits)] = p
-    return np.array(out, dtype="<u4").view(np.uint8).reshape(height, width, 4)[:, :, [2, 1, 0, 3]]
-
-
-def _read_plain(bits: Bits, group: list[Code], total: int) -> np.ndarray | None:
-    """All pixels at once, where green, red, blue and alpha codes are eight bits or none long."""
-    tables = [None if c.single is not None else c.bytes_table for c in group[:4]]
-    if any(t is None and c.single is None for t, c in zip(tables, group)) or (group[0].single or 0) > 255:
-        return None
-    live = [k for k in range(4) if tables[k] is not None]
-    out = np.empty((total, 4), dtype=np.uint8)
-    order = (1, 0, 2, 3)
-    for k in range(4):
-        if tables[k] is None:
-            out[:, order[k]] = group[k].single
-    n = total * len(live)
-    if n:
-        a, shift = bits.at >> 3, bits.at & 7
-        raw = np.frombuffer(bits.data, dtype=np.uint8, offset=a)
-        if 8 * len(raw) < shift + 8 * n:
+            pos += n
+            put(cache[s - 280])
+            at += 1
+        if pos > end:
             raise ValueError("the stream ends early")
-        got = raw[:n] >> shift | raw[1 : n + 1] << (8 - shift) if shift else raw[:n]
-        bits.at += 8 * n
-        for i, k in enumerate(live):
-            out[:, order[k]] = tables[k][got[i :: len(live)]]
-    return out
+    bits.at = pos
+    return np.array(out, dtype="<u4").view(np.uint8).reshape(height, width, 4)[:, :, [2, 1, 0, 3]]
 
 
 def _half(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -223,45 +215,102 @@ def predict(mode: int, left, top, top_left, top_right):
     return np.clip(mean + np.where(change < 0, -(-change >> 1), change >> 1), 0, 255)
 
 
-def predicted(pixels: np.ndarray, modes: np.ndarray, size_bits: int, forward: bool) -> np.ndarray:
-    """Adds predictions to residuals, or takes them from pixels if forward. modes by tile."""
+def residuals(pixels: np.ndarray, mode: int) -> np.ndarray:
+    """What one mode leaves of a whole picture. Neighbours are places before in reading order; what the rightmost pixel sees to its upper right is the first pixel of its own row."""
     height, width = pixels.shape[:2]
-    out = pixels.copy()
-    full = pixels if forward else out
-    corner = np.array([0, 0, 0, 255], dtype=np.uint8)
-    sign = -1 if forward else 1
-    for y in range(height):
-        tile = np.repeat(modes[y >> size_bits], 1 << size_bits)[:width]
-        if y == 0:
-            if forward:
-                out[0, 1:] = pixels[0, 1:] - pixels[0, :-1]
-                out[0, 0] = pixels[0, 0] - corner
+    flat = pixels.reshape(-1, 4)
+    out = np.empty_like(flat)
+    out[0] = flat[0] - np.array([0, 0, 0, 255], dtype=np.uint8)
+    out[1:width] = flat[1:width] - flat[: width - 1]
+    if height > 1:
+        n = len(flat) - width
+        p = predict(mode, flat[width - 1 : -1], flat[:n], np.concatenate((flat[:1], flat[: n - 1])), flat[1 : n + 1])
+        out[width:] = flat[width:] - p.astype(np.uint8)
+        out[width::width] = flat[width::width] - flat[:n:width]
+    return out.reshape(pixels.shape)
+
+
+def tiled(tiles: np.ndarray, size_bits: int, height: int, width: int) -> np.ndarray:
+    """Each pixel's tile."""
+    return np.repeat(np.repeat(tiles, 1 << size_bits, 0), 1 << size_bits, 1)[:height, :width]
+
+
+def foretold(pixels: np.ndarray, modes: np.ndarray, size_bits: int) -> np.ndarray:
+    """Residuals of pixels; modes by tile."""
+    each = tiled(modes, size_bits, *pixels.shape[:2])
+    out = np.empty_like(pixels)
+    for mode in np.unique(modes):
+        here = each == mode
+        out[here] = residuals(pixels, int(mode))[here]
+    return out
+
+
+#: Modes that don't look at the pixel to the left, so a row is one step.
+ROWWISE = (0, 2, 3, 4, 8, 9)
+
+
+def predicted(rest: np.ndarray, modes: np.ndarray, size_bits: int) -> np.ndarray:
+    """Adds predictions to residuals, row by row, in runs of one mode."""
+    height, width = rest.shape[:2]
+    out = rest.copy()
+    out[:1, :1, 3] += np.uint8(255)
+    np.cumsum(out[0], axis=0, dtype=np.uint8, out=out[0])
+    for y in range(1, height):
+        out[y, 0] += out[y - 1, 0]
+        above, row = out[y - 1], out[y]
+        right = np.concatenate((above[1:], row[:1]))
+        tile = modes[y >> size_bits]
+        x = 1
+        while x < width:
+            k = x >> size_bits
+            mode, stop = int(tile[k]), k + 1
+            while stop < len(tile) and tile[stop] == mode:
+                stop += 1
+            stop = min(stop << size_bits, width)
+            if mode in ROWWISE or mode > 13:
+                row[x:stop] += predict(mode, above[x:stop], above[x:stop], above[x - 1 : stop - 1], right[x:stop]).astype(np.uint8)
+            elif mode == 1:
+                row[x - 1 : stop] = np.cumsum(row[x - 1 : stop], axis=0, dtype=np.uint8)
             else:
-                out[0, 0] += corner
-                np.cumsum(out[0], axis=0, dtype=np.uint8, out=out[0])
-            continue
-        above = full[y - 1]
-        out[y, 0] = pixels[y, 0] + np.uint8(sign % 256) * above[0]
-        # what the rightmost pixel sees to its upper right is the first pixel of its own row
-        right = np.concatenate((above[1:], full[y, :1]))
-        for mode in np.unique(tile[1:]):
-            x = np.flatnonzero(tile == mode)
-            x = x[x > 0]
-            if forward or mode in (0, 2, 3, 4, 8, 9) or mode > 13:
-                p = predict(int(mode), full[y, x - 1], above[x], above[x - 1], right[x])
-                out[y, x] = (pixels[y, x] + sign * p.astype(np.int16)).astype(np.uint8)
-        if not forward:
-            for x in np.flatnonzero(~np.isin(tile, (0, 2, 3, 4, 8, 9)) & (tile <= 13)):
-                if x:
-                    p = predict(int(tile[x]), out[y, x - 1], above[x], above[x - 1], right[x])
-                    out[y, x] = (pixels[y, x] + p).astype(np.uint8)
+                _follow(mode, row, above, right, x, stop)
+            x = stop
     return out
 
 
+def _follow(mode: int, row: np.ndarray, above: np.ndarray, right: np.ndarray, start: int, stop: int) -> None:
+    """Pixels start to stop of a row whose predictions need the pixel to the left."""
+    left = row[start - 1].tolist()
+    top, corner, ahead = above[start:stop].tolist(), above[start - 1 : stop - 1].tolist(), right[start:stop].tolist()
+    out = []
+    for rest, t, c, a in zip(row[start:stop].tolist(), top, corner, ahead):
+        if mode == 5:
+            p = [((x + z >> 1) + y) >> 1 for x, y, z in zip(left, t, a)]
+        elif mode == 6:
+            p = [(x + z) >> 1 for x, z in zip(left, c)]
+        elif mode == 7:
+            p = [(x + y) >> 1 for x, y in zip(left, t)]
+        elif mode == 10:
+            p = [((x + z >> 1) + (y + q >> 1)) >> 1 for x, y, z, q in zip(left, t, c, a)]
+        elif mode == 11:
+            # the guess is left + top - corner: its way to left is top's to corner, and the other way round
+            p = left if sum(abs(y - z) for y, z in zip(t, c)) < sum(abs(x - z) for x, z in zip(left, c)) else t
+        elif mode == 12:
+            p = [min(255, max(0, x + y - z)) for x, y, z in zip(left, t, c)]
+        else:
+            p = []
+            for x, y, z in zip(left, t, c):
+                mean = x + y >> 1
+                change = mean - z
+                p.append(min(255, max(0, mean + (-(-change >> 1) if change < 0 else change >> 1))))
+        left = [(x + y) & 255 for x, y in zip(rest, p)]
+        out.append(left)
+    row[start:stop] = out
+
+
 def crossed(pixels: np.ndarray, elements: np.ndarray, size_bits: int, forward: bool) -> np.ndarray:
     """Adds what green and red foretell of red and blue, or takes it away if forward. elements by tile: red to blue, green to blue, green to red."""
     height, width = pixels.shape[:2]
-    e = np.repeat(np.repeat(elements, 1 << size_bits, 0), 1 << size_bits, 1)[:height, :width].view(np.int8).astype(np.int16)
+    e = tiled(elements, size_bits, height, width).view(np.int8).astype(np.int16)
     part = lambda t, c: (t * c.view(np.int8).astype(np.int16)) >> 5
     out = pixels.copy()
     green = np.ascontiguousarray(pixels[:, :, 1])
@@ -303,7 +352,7 @@ def decode(data: bytes) -> np.ndarray:
     pixels = read_picture(bits, wide, height, True)
     for kind, wide, size, more in reversed(undo):
         if kind == PREDICTOR:
-            pixels = predicted(pixels, more[:, :, 1], size, False)
+            pixels = predicted(pixels, more[:, :, 1], size)
         elif kind == CROSS_COLOUR:
             pixels = crossed(pixels, more[:, :, :3], size, False)
         elif kind == SUBTRACT_GREEN:
@@ -324,38 +373,70 @@ class Writer:
     """Collects bits, lowest first."""
 
     def __init__(self):
-        self.value, self.n = 0, 0
+        self.parts: list[np.ndarray] = []
+        self.values: list[int] = []
+        self.sizes: list[int] = []
 
     def put(self, value: int, n: int) -> None:
-        self.value |= value << self.n
-        self.n += n
+        self.values.append(value)
+        self.sizes.append(n)
+
+    def put_all(self, values: np.ndarray, sizes: np.ndarray) -> None:
+        self._flush()
+        for k in range(0, len(values), 1 << 17):
+            n = sizes[k : k + (1 << 17)]
+            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            self.parts.append((np.repeat(values[k : k + (1 << 17)], n) >> place & 1).astype(np.uint8))
+
+    def _flush(self) -> None:
+        if self.values:
+            values, sizes, self.values, self.sizes = np.array(self.values, dtype=np.int64), np.array(self.sizes, dtype=np.int64), [], []
+            self.put_all(values, sizes)
 
     def bytes(self) -> bytes:
-        return self.value.to_bytes((self.n + 7) // 8, "little")
+        self._flush()
+        return np.packbits(np.concatenate(self.parts), bitorder="little").tobytes()
 
 
-def code_lengths(counts: dict[int, int], symbols: int, most: int = 15) -> list[int]:
-    """Lengths of a prefix code for counts, at most `most`: counts are flattened until it fits."""
-    out = [0] * symbols
+def code_lengths(counts: np.ndarray, most: int = 15) -> list[int]:
+    """Lengths of a prefix code for counts, at most `most`: counts are flattened until it fits. An only symbol has length 1."""
+    used = np.flatnonzero(counts)
+    out = np.zeros(len(counts), dtype=np.int64)
+    if len(used) < 2:
+        out[used] = 1
+        return out.tolist()
     floor = 1
     while True:
-        queue = [(max(c, floor), s, (s,)) for s, c in counts.items()]
-        heapq.heapify(queue)
-        depth = dict.fromkeys(counts, 0)
-        while len(queue) > 1:
-            a, b = heapq.heappop(queue), heapq.heappop(queue)
-            for s in a[2] + b[2]:
-                depth[s] += 1
-            heapq.heappush(queue, (a[0] + b[0], min(a[1], b[1]), a[2] + b[2]))
-        if max(depth.values(), default=0) <= most:
-            break
+        weight = np.maximum(counts[used], floor)
+        order = np.argsort(weight, kind="stable")
+        single, n = weight[order].tolist(), len(used)
+        # two queues: single symbols by weight, and pairs in the order they are made
+        pairs: list[int] = []
+        parent = [0] * (2 * n - 1)
+        i = j = 0
+        for k in range(n, 2 * n - 1):
+            total = 0
+            for _ in range(2):
+                if j == len(pairs) or (i < n and single[i] <= pairs[j]):
+                    total += single[i]
+                    parent[i] = k
+                    i += 1
+                else:
+                    total += pairs[j]
+                    parent[n + j] = k
+                    j += 1
+            pairs.append(total)
+        depth = [0] * (2 * n - 1)
+        for k in range(2 * n - 3, -1, -1):
+            depth[k] = depth[parent[k]] + 1
+        if max(depth[:n]) <= most:
+            out[used[order]] = depth[:n]
+            return out.tolist()
         floor *= 2
-    for s, d in depth.items():
-        out[s] = max(1, d)
-    return out
 
 
-def write_code(w: Writer, lengths: list[int]) -> Code:
+def write_code(w: Writer, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Writes a code's lengths; codes and lengths by symbol."""
     used = [s for s, n in enumerate(lengths) if n]
     if len(used) <= 2 and all(s < 256 for s in used):
         used = used or [0]
@@ -364,7 +445,7 @@ def write_code(w: Writer, lengths: list[int]) -> Code:
         w.put(1, 1)
         for s in used:
             w.put(s, 8)
-        return Code([1 if s in used else 0 for s in range(len(lengths))])
+        return canonical([1 if s in used else 0 for s in range(len(lengths))])
     tokens: list[tuple[int, int, int]] = []
     at, before = 0, 8
     while at < len(lengths):
@@ -383,86 +464,125 @@ def write_code(w: Writer, lengths: list[int]) -> Code:
             tokens.append((n, 0, 0))
             before = n or before
         at += run
-    counts: dict[int, int] = {}
-    for t, _, _ in tokens:
-        counts[t] = counts.get(t, 0) + 1
-    if len(counts) == 1:
-        counts |= {0 if 0 not in counts else 1: 1}
-    outer_lengths = code_lengths(counts, 19, 7)
+    counts = np.bincount([t for t, _, _ in tokens], minlength=19)
+    if (counts > 0).sum() == 1:
+        counts[0 if not counts[0] else 1] = 1
+    outer_lengths = code_lengths(counts, 7)
     w.put(0, 1)
     last = max(k for k in range(19) if outer_lengths[CODE_LENGTH_ORDER[k]] or k < 4)
     w.put(last + 1 - 4, 4)
     for k in range(last + 1):
         w.put(outer_lengths[CODE_LENGTH_ORDER[k]], 3)
-    outer = Code(outer_lengths)
+    codes, sizes = (x.tolist() for x in canonical(outer_lengths))
     w.put(0, 1)
     for t, extra, n in tokens:
-        w.put(*outer.codes[t])
+        w.put(codes[t], sizes[t])
         w.put(extra, n)
-    return Code(lengths)
+    return canonical(lengths)
+
+
+def prefix_of(value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, extra bits' values, their numbers) of lengths or distance codes."""
+    v = np.asarray(value, dtype=np.int64) - 1
+    top = np.frexp(np.maximum(v, 1).astype(np.float64))[1].astype(np.int64) - 1
+    extra = np.where(v < 4, 0, top - 1)
+    return np.where(v < 4, v, 2 * top + (v >> np.maximum(top - 1, 0) & 1)), v & ((np.int64(1) << extra) - 1), extra
 
 
-def prefix_of(value: int) -> tuple[int, int, int]:
-    """(symbol, extra bits' value, their number) of a length or distance code."""
-    v = value - 1
-    if v < 4:
-        return v, 0, 0
-    top = v.bit_length() - 1
-    half = v >> (top - 1) & 1
-    return 2 * top + half, v & ((1 << (top - 1)) - 1), top - 1
+def earlier(key: np.ndarray) -> np.ndarray:
+    """For each place the last place before it with an equal key, or -1."""
+    order = np.argsort(key, kind="stable")
+    same = key[order[1:]] == key[order[:-1]]
+    out = np.full(len(key), -1, dtype=np.int64)
+    out[order[1:][same]] = order[:-1][same]
+    return out
+
 
+def packed(pixels: np.ndarray) -> np.ndarray:
+    """One number a pixel, in reading order: alpha, red, green, blue."""
+    return (pixels.astype(np.uint32) @ np.array([1 << 16, 1 << 8, 1, 1 << 24], dtype=np.uint32)).ravel()
 
-def write_picture(w: Writer, pixels: np.ndarray, outer: bool, cache_bits: int = 0, references: bool = False) -> None:
+
+def references_of(p: np.ndarray) -> list[tuple[int, int, int]]:
+    """(place, length, distance) of runs of three pixels or more that stand before, greedily, the nearest earlier one each."""
+    if len(p) < 4:
+        return []
+    q = p.astype(np.uint64)
+    before = earlier((q[:-2] * np.uint64(0x9E3779B97F4A7C15) ^ q[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F) ^ q[2:])
+    out, end = [], 0
+    for at in np.flatnonzero(before >= 0).tolist():
+        if at < end:
+            continue
+        was, most = int(before[at]), min(4096, len(p) - at)
+        other = p[at : at + most] != p[was : was + most]
+        n = int(np.argmax(other))
+        n = n if other[n] else most
+        if n >= 3:
+            out.append((at, n, at - was))
+            end = at + n
+    return out
+
+
+def cached(p: np.ndarray, cache_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each pixel's place in the colour cache, and whether it stands there."""
+    h = ((p.astype(np.uint64) * np.uint64(CACHE_HASH) & np.uint64(0xFFFFFFFF)) >> np.uint64(32 - cache_bits)).astype(np.int64)
+    before = earlier(h)
+    return h, (before >= 0) & (p[np.maximum(before, 0)] == p)
+
+
+def cost(counts: np.ndarray) -> float:
+    """Bits of symbols under their entropy, and about five a symbol for its length."""
+    n = counts[counts > 0]
+    return float(n.sum() * np.log2(n.sum()) - (n * np.log2(n)).sum() + 5 * len(n)) if len(n) > 1 else 8.0
+
+
+def symbols_of(pixels: np.ndarray, cache_bits: int, references: bool | list) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Symbols and their kinds, four a token, and counts by kind. Kinds are green, red, blue, alpha, distance; -100 - n stands for n extra bits."""
+    width = pixels.shape[1]
+    p = packed(pixels)
+    found = references_of(p) if references is True else references or []
+    single = np.ones(len(p), dtype=bool)
+    for at, n, _ in found:
+        single[at : at + n] = False
+    at = np.flatnonzero(single)
+    flat = pixels.reshape(-1, 4)[at]
+    symbols, kinds = flat[:, [1, 0, 2, 3]].astype(np.int64), np.tile(np.array([0, 1, 2, 3]), (len(at), 1))
+    if cache_bits:
+        h, hit = cached(p, cache_bits)
+        hit = hit[at]
+        symbols[hit] = 0
+        symbols[hit, 0] = 280 + h[at][hit]
+        kinds[hit, 1:] = -100
+    if found:
+        near = {}
+        for k, (x, y) in reversed(list(enumerate(NEAR))):
+            near[max(1, x + y * width)] = k + 1
+        place, n, d = np.array(found, dtype=np.int64).T
+        ns, nv, nb = prefix_of(n)
+        ds, dv, db = prefix_of(np.array([near.get(x, x + 120) for x in d.tolist()]))
+        order = np.argsort(np.concatenate((at, place)), kind="stable")
+        symbols = np.concatenate((symbols, np.stack((256 + ns, nv, ds, dv), 1)))[order]
+        kinds = np.concatenate((kinds, np.stack((np.zeros_like(n), -100 - nb, np.full_like(n, 4), -100 - db), 1)))[order]
+    sizes = (280 + (1 << cache_bits if cache_bits else 0), 256, 256, 256, 40)
+    flat_kinds, flat_symbols = kinds.ravel(), symbols.ravel()
+    counts = [np.bincount(flat_symbols[flat_kinds == k], minlength=m) for k, m in enumerate(sizes)]
+    return flat_symbols, flat_kinds, counts
+
+
+def write_picture(w: Writer, pixels: np.ndarray, outer: bool, cache_bits: int = 0, references: bool | list = False) -> None:
     """Symbols with optional back-references to equal runs and a colour cache."""
-    height, width = pixels.shape[:2]
-    p = (pixels.astype(np.uint32) @ np.array([1 << 16, 1 << 8, 1, 1 << 24], dtype=np.uint32)).ravel().tolist()
     w.put(1 if cache_bits else 0, 1)
     if cache_bits:
         w.put(cache_bits, 4)
     if outer:
         w.put(0, 1)
-    near = {}
-    for k, (x, y) in reversed(list(enumerate(NEAR))):
-        near[max(1, x + y * width)] = k + 1
-    cache, seen = [None] * (1 << cache_bits), {}
-    tokens: list[tuple] = []
-    at = 0
-    while at < len(p):
-        n = 0
-        if references and at + 3 <= len(p) and (was := seen.get(tuple(p[at : at + 3]))) is not None:
-            while at + n < len(p) and n < 4096 and p[was + n] == p[at + n]:
-                n += 1
-        if n >= 3:
-            d = at - was
-            tokens.append((256 + prefix_of(n)[0], n, near.get(d, d + 120)))
-        else:
-            n = 1
-            h = (CACHE_HASH * p[at] & 0xFFFFFFFF) >> (32 - cache_bits) if cache_bits else 0
-            tokens.append((280 + h,) if cache_bits and cache[h] == p[at] else (p[at] >> 8 & 255, p[at] >> 16 & 255, p[at] & 255, p[at] >> 24))
-        for q in range(at, at + n):
-            if cache_bits:
-                cache[(CACHE_HASH * p[q] & 0xFFFFFFFF) >> (32 - cache_bits)] = p[q]
-            if references:
-                seen[tuple(p[q : q + 3])] = q
-        at += n
-    sizes = (280 + (1 << cache_bits if cache_bits else 0), 256, 256, 256, 40)
-    counts: list[dict[int, int]] = [{} for _ in sizes]
-    for t in tokens:
-        parts = [(0, t[0])] if len(t) == 1 else list(enumerate(t)) if len(t) == 4 else [(0, t[0]), (4, prefix_of(t[2])[0])]
-        for k, s in parts:
-            counts[k][s] = counts[k].get(s, 0) + 1
-    codes = [write_code(w, code_lengths(c, n)) for c, n in zip(counts, sizes)]
-    for t in tokens:
-        if len(t) == 4:
-            for k, s in enumerate(t):
-                w.put(*codes[k].codes[s])
-        else:
-            w.put(*codes[0].codes[t[0]])
-            if len(t) == 3:
-                w.put(*prefix_of(t[1])[1:])
-                s, extra, n = prefix_of(t[2])
-                w.put(*codes[4].codes[s])
-                w.put(extra, n)
+    symbols, kinds, counts = symbols_of(pixels, cache_bits, references)
+    values, sizes = symbols.copy(), np.maximum(-100 - kinds, 0)
+    for k, c in enumerate(counts):
+        code, n = write_code(w, code_lengths(c))
+        here = kinds == k
+        values[here], sizes[here] = code[symbols[here]], n[symbols[here]]
+    w.put_all(values, sizes)
 
 
 def _file(body: bytes) -> bytes:
@@ -470,19 +590,15 @@ def _file(body: bytes) -> bytes:
     return b"RIFF" + (12 + len(body) + len(pad)).to_bytes(4, "little") + b"WEBPVP8L" + len(body).to_bytes(4, "little") + body + pad
 
 
-def _head(w: Writer, width: int, height: int, alpha: bool) -> None:
+def encode(pixels: np.ndarray, transforms: list[tuple] = (), cache_bits: int = 0, references: bool | list = False) -> bytes:
+    """One file. transforms, in order: ("green",), ("predict", size_bits, modes), ("cross", size_bits, elements) or ("palette",)."""
+    height, width = pixels.shape[:2]
+    w = Writer()
     w.put(0x2F, 8)
     w.put(width - 1, 14)
     w.put(height - 1, 14)
-    w.put(int(alpha), 1)
+    w.put(int((pixels[:, :, 3] != 255).any()), 1)
     w.put(0, 3)
-
-
-def encode(pixels: np.ndarray, transforms: list[tuple] = (), cache_bits: int = 0, references: bool = False) -> bytes:
-    """One file. transforms, in order: ("green",), ("predict", size_bits, modes), ("cross", size_bits, elements) or ("palette",)."""
-    height, width = pixels.shape[:2]
-    w = Writer()
-    _head(w, width, height, bool((pixels[:, :, 3] != 255).any()))
     pixels = np.ascontiguousarray(pixels)
     for kind, *more in transforms:
         w.put(1, 1)
@@ -492,10 +608,11 @@ def encode(pixels: np.ndarray, transforms: list[tuple] = (), cache_bits: int = 0
             pixels[:, :, 0] -= pixels[:, :, 1]
             pixels[:, :, 2] -= pixels[:, :, 1]
         elif kind == "palette":
-            colours, index = np.unique(pixels.reshape(-1, 4), axis=0, return_inverse=True)
+            colours, index = np.unique(packed(pixels), return_inverse=True)
+            table = colours.astype("<u4").view(np.uint8).reshape(-1, 4)[:, [2, 1, 0, 3]]
             w.put(PALETTE, 2)
             w.put(len(colours) - 1, 8)
-            write_picture(w, np.diff(colours, axis=0, prepend=np.zeros((1, 4), np.uint8))[None], False)
+            write_picture(w, np.diff(table, axis=0, prepend=np.zeros((1, 4), np.uint8))[None], False)
             n = packed_bits(len(colours))
             index = np.pad(index.reshape(height, -1), ((0, 0), (0, -pixels.shape[1] % (1 << n)))).reshape(height, -1, 1 << n)
             pixels = np.zeros((*index.shape[:2], 4), dtype=np.uint8)
@@ -509,7 +626,7 @@ def encode(pixels: np.ndarray, transforms: list[tuple] = (), cache_bits: int = 0
             tiles[:, :, 3] = 255
             if kind == "predict":
                 tiles[:, :, 1] = table
-                pixels = predicted(pixels, table, size, True)
+                pixels = foretold(pixels, table, size)
             else:
                 tiles[:, :, :3] = table
                 pixels = crossed(pixels, table, size, True)
@@ -519,35 +636,69 @@ def encode(pixels: np.ndarray, transforms: list[tuple] = (), cache_bits: int = 0
     return _file(w.bytes())
 
 
-@functools.cache
-def _plain_codes() -> tuple[int, int]:
-    """What stands between the sizes and the pixels of a plain file."""
-    w = Writer()
-    w.put(1, 1)
-    w.put(SUBTRACT_GREEN, 2)
-    w.put(0, 3)  # no further transform, no cache, one group of codes
-    for size in (280, 256, 256):
-        write_code(w, [8] * 256 + [0] * (size - 256))
-    write_code(w, [0] * 255 + [1])
-    write_code(w, [0] * 40)
-    return w.value, w.n
-
-
-def encode_plain(rgb: np.ndarray) -> bytes:
-    """One opaque file of (height, width, 3), green subtracted, under eight-bit codes: written as an array."""
-    height, width = rgb.shape[:2]
-    w = Writer()
-    _head(w, width, height, False)
-    w.put(*_plain_codes())
-    body = np.empty(rgb.shape, dtype=np.uint8)
-    body[:, :, 0], body[:, :, 1], body[:, :, 2] = rgb[:, :, 1], rgb[:, :, 0] - rgb[:, :, 1], rgb[:, :, 2] - rgb[:, :, 1]
-    body = _REVERSED[body.ravel()]
-    head, shift = w.value, w.n & 7
-    if shift:
-        joined = np.zeros(len(body) + 1, dtype=np.uint8)
-        joined[:-1] = body << shift
-        joined[1:] |= body >> (8 - shift)
-        joined[0] |= head >> (w.n - shift)
-    else:
-        joined = body
-    return _file((head & ((1 << (w.n - shift)) - 1)).to_bytes(w.n // 8, "little") + joined.tobytes())
+#: Modes that the writer tries, and the side of its tiles as a power of two.
+TRIED, TILE = (1, 2, 4, 7, 11, 12), 4
+
+
+def channel_bits(pixels: np.ndarray) -> np.ndarray:
+    """Bits of each pixel's channels under the picture's own entropy."""
+    out = np.zeros(pixels.shape[:2])
+    for k in range(4):
+        c = np.bincount(pixels[:, :, k].ravel(), minlength=256)
+        out += (np.log2(c.sum()) - np.log2(np.maximum(c, 1)))[pixels[:, :, k]]
+    return out
+
+
+def per_tile(x: np.ndarray) -> np.ndarray:
+    """Sums by tile."""
+    rows = np.add.reduceat(x, np.arange(0, x.shape[0], 1 << TILE), axis=0)
+    return np.add.reduceat(rows, np.arange(0, x.shape[1], 1 << TILE), axis=1)
+
+
+def choose_modes(pixels: np.ndarray) -> np.ndarray | None:
+    """Modes by tile, 0 unless another leaves clearly fewer bits there; None if it does nowhere."""
+    plain = per_tile(channel_bits(pixels))
+    best, modes = plain * 0.97 - 16, np.zeros(plain.shape, dtype=np.uint8)
+    for mode in TRIED:
+        bits = per_tile(channel_bits(residuals(pixels, mode)))
+        modes[bits < best] = mode
+        best = np.minimum(best, bits)
+    return modes if modes.any() else None
+
+
+def choose_elements(pixels: np.ndarray) -> np.ndarray | None:
+    """Elements by tile: slopes of blue and red on green where they leave clearly fewer bits; None if they do nowhere."""
+    signed = np.ascontiguousarray(pixels).view(np.int8).astype(np.float32)
+    red, green, blue = signed[:, :, 0], signed[:, :, 1], signed[:, :, 2]
+    square = np.maximum(per_tile(green * green), 1)
+    slope = lambda x: np.clip(np.rint(32 * per_tile(x * green) / square), -128, 127).astype(np.int8).view(np.uint8)
+    elements = np.stack((np.zeros(square.shape, np.uint8), slope(blue), slope(red)), -1)
+    gain = per_tile(channel_bits(pixels)) * 0.97 - 32 - per_tile(channel_bits(crossed(pixels, elements, TILE, True)))
+    elements[gain <= 0] = 0
+    return elements if elements.any() else None
+
+
+def choose_cache(pixels: np.ndarray, found: list) -> int:
+    """Bits of the colour cache: none unless one pixel in sixteen finds its colour there, else what costs less."""
+    p = packed(pixels)
+    bits = min(10, max(1, int(np.log2(len(p))) - 1))
+    if 16 * int(cached(p, bits)[1].sum()) < len(p):
+        return 0
+    return min((0, bits), key=lambda b: sum(map(cost, symbols_of(pixels, b, found)[-1])))
+
+
+def encode_small(pixels: np.ndarray) -> bytes:
+    """One file: a palette where colours are few and it is smaller, else predictors and cross-colour where they leave fewer bits; always back-references, and a cache that pays."""
+    p = packed(pixels)
+    transforms, rest = [], pixels
+    if (modes := choose_modes(rest)) is not None:
+        transforms.append(("predict", TILE, modes))
+        rest = foretold(rest, modes, TILE)
+    if (elements := choose_elements(rest)) is not None:
+        transforms.append(("cross", TILE, elements))
+        rest = crossed(rest, elements, TILE, True)
+    found = references_of(packed(rest))
+    out = encode(pixels, transforms, choose_cache(rest, found), found)
+    if 4 * (colours := len(np.unique(p))) <= len(p) and colours <= 256:
+        out = min(out, encode(pixels, [("palette",)], 0, True), key=len)
+    return out
