@@ -5,8 +5,8 @@ m - floor(m). The cube method decides these last copies so that the count of doc
 flight moves three open probabilities at a time through the null space of both constraints until one is 0
 or 1. Flights run in cells of a few hundred documents; what stays open (two a cell at most) flies again
 together, level by level, until one cell a source is left, and only its last two or so documents are landed, by
-the choice nearest to the target. Cells are hash ranges of ids within a source, so a source with a third of all
-rows is dealt over many tasks, and reruns agree.
+the choice nearest to the target. Cells are hash ranges of ids within a source, and of the copy's number where rows are equal in id, source and
+size, so a source or a group of copies with a third of all rows is dealt over many tasks, and reruns agree.
 """
 
 from __future__ import annotations
@@ -79,7 +79,7 @@ def flier(seed: int, level: int):
     """Flies one cell, and lands it where it is its source's only one."""
 
     def fly(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "doc_id"], ascending=[False, True], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["size", "doc_id", "copy"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
         p = flight(pdf.p.tolist(), pdf["size"].tolist(), random.Random(f"{seed}/{level}/{key[0]}/{key[1]}"))
         if pdf.cells[0] == 1:
             p = landing(p, pdf["size"].tolist())
@@ -91,9 +91,9 @@ def flier(seed: int, level: int):
 def mix_sources(documents: DataFrame, seed: int = 17, most: int = 3, cell: int = CELL, keep_columns: bool = True) -> DataFrame:
     """documents with size, source_size, target and taken added; extra columns stay (columns of these four names are replaced) unless keep_columns is False.
 
-    Sizes are words; null texts have 0, and an empty source takes nothing. Repeated rows count one by one. The
-    sources' totals go to the driver, one row a source: sources are named kinds, a few thousand at most. cell is 8 or more, so that
-    every level leaves fewer documents open.
+    Sizes are words; null texts have 0, and an empty source takes nothing; rows with a null source are a source. Repeated rows count one by one; null
+    ids are ids like others. An empty table stays empty. The sources' totals go to the driver, one row a source, and come back as a
+    small table that is broadcast only while the session's threshold allows it. cell is 8 or more, so that every level leaves fewer documents open.
     """
     if cell < 8:
         raise ValueError("cell must be 8 or more")
@@ -105,15 +105,18 @@ def mix_sources(documents: DataFrame, seed: int = 17, most: int = 3, cell: int =
     if not keep_columns:
         return decided
     # Equal rows (in id, source and size) are taken alike but for one copy more or less, so three numbers tell all their
-    # shares; the row's number among its equals picks one. Window and join share one key: texts are dealt once.
+    # shares; only where copies differ the row's number among its equals picks one.
     key = F.concat_ws("\x01", F.coalesce(F.col("doc_id").cast("string"), F.lit("\x02")), F.coalesce("source", F.lit("\x02")), F.col("size").cast("string")).alias("_key")
     share = decided.select(key, "source_size", "target", "taken").groupBy("_key").agg(
         F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.min("taken").alias("_low"), F.max("taken").alias("_high"), F.sum("taken").alias("_sum"), F.count("*").alias("_n")
     )
-    left = sized.withColumn("_key", key).withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64("text"))))
-    high = F.when(F.col("_high") > F.col("_low"), (F.col("_sum") - F.col("_n") * F.col("_low")) / (F.col("_high") - F.col("_low"))).otherwise(0)
-    taken = F.when(F.col("_nth") <= F.round(high), F.col("_high")).otherwise(F.col("_low")).alias("taken")
-    return back(left.join(share, "_key").select(*sized.columns, "source_size", "target", taken))
+    left = sized.withColumn("_key", key).join(share, "_key")
+    columns = [*sized.columns, "source_size", "target"]
+    alike = left.where("_low = _high").select(*columns, F.col("_low").alias("taken"))
+    nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64("text")))
+    high = F.round((F.col("_sum") - F.col("_n") * F.col("_low")) / (F.col("_high") - F.col("_low")))
+    mixed = left.where("_low < _high").withColumn("_nth", nth).select(*columns, F.when(F.col("_nth") <= high, F.col("_high")).otherwise(F.col("_low")).alias("taken"))
+    return back(alike.union(mixed))
 
 
 def decide(sized: DataFrame, seed: int, most: int, cell: int) -> DataFrame:
@@ -122,8 +125,10 @@ def decide(sized: DataFrame, seed: int, most: int, cell: int) -> DataFrame:
     goal = targets([(r.source, r.n) for r in totals], most)
     plan = sized.sparkSession.createDataFrame([(r.source, r.n, goal[r.source], max(1, math.ceil(r.docs / cell))) for r in totals], "name string, source_size long, target double, cells int")
     m = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    rows = sized.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("name"))).drop("name")
-    rows = rows.withColumns({"whole": F.floor(m).cast("int"), "p": m - F.floor(m), "cell": F.pmod(F.xxhash64("doc_id", "size"), F.col("cells")).cast("int")})
+    # equal rows are counted, then told apart by a number, so they spread over cells whatever their order
+    equal = sized.groupBy("doc_id", "source", "size").agg(F.count("*").alias("n"))
+    rows = equal.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("n").join(plan, F.col("source").eqNullSafe(F.col("name"))).drop("name")
+    rows = rows.withColumns({"whole": F.floor(m).cast("int"), "p": m - F.floor(m), "cell": F.pmod(F.xxhash64("doc_id", "size", "copy"), F.col("cells")).cast("int")})
     done = None
     level = 0
     while True:

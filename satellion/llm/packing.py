@@ -5,7 +5,8 @@ sequence are cut, from their end, so that the first piece alone may be shorter.
 to the capacity, so all placing is done on the histogram of lengths, whose size is fixed: pieces above a third of the capacity are
 matched greedily, two a sequence at most (longest first, each with the longest partner that fits); shorter pieces best-fit the remaining gaps,
 longest first, and open new sequences when nothing fits. Runs of equal sequences are kept as ranges, and each piece finds
-its place by its rank among pieces of its length. Ranks are counted in salted cells, so one common length is dealt over many tasks.
+its place by its rank among pieces of its length. Ranks are counted in cells of about CELL pieces of one length, so a common length is dealt over as
+many tasks as it needs.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 from satellion.functions.shipping import ship
 from satellion.llm.common import store
 
-SALTS = 64
+#: Pieces a cell, about.
+CELL = 1 << 20
 
 
 def byte_symbols() -> dict[str, int]:
@@ -58,24 +60,28 @@ def pieces_of(ids: np.ndarray, capacity: int) -> list[tuple[int, int]]:
 
 
 def cut(documents: DataFrame, tokenizer: str | None, capacity: int, end_id: int) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32) of each piece. Null texts are empty: one piece that holds the end id."""
+    """(doc_id, piece, start, length, ids_crc32, row) of each piece; row tells pieces apart, also those of repeated rows. Null texts are empty: one piece that holds the end id."""
 
     def run(parts):
+        from pyspark import TaskContext
+
         if tokenizer is None:
             import public_tokenizers
 
             encode = encoder(public_tokenizers.path("byte_bpe_50k.json"))
         else:
             encode = encoder(tokenizer)
+        row = TaskContext.get().partitionId() << 40
         for pdf in parts:
             rows = []
             for doc, text in zip(pdf.doc_id, pdf.text):
                 ids = np.append(encode(text) if text else np.zeros(0, np.uint32), np.uint32(end_id)).astype("<u4")
                 rows += [(doc, k, s, n, zlib.crc32(ids[s : s + n].tobytes())) for k, (s, n) in enumerate(pieces_of(ids, capacity))]
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield out.astype({"doc_id": "Int64"})
+            yield out.astype({"doc_id": "Int64"}).assign(row=np.arange(row, row + len(out)))
+            row += len(out)
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, "doc_id long, piece int, start long, length long, ids_crc32 long, row long")
 
 
 def place(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
@@ -168,36 +174,39 @@ def place(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, in
 def pack(documents: DataFrame, capacity: int = 1024, end_id: int = 2, tokenizer: str | None = None) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece of documents.
 
-    tokenizer is the path of a byte-level vocabulary file (None: the installed public one); workers read it where they run.
+    tokenizer is the path of a byte-level vocabulary file (None: the installed public one); workers read it where they run. Rows are packed one
+    by one: repeated rows each have their pieces, under the same doc_id and piece; rows with a null id keep it; an empty table has no pieces. Other
+    columns are not read.
     """
     ship(documents.sparkSession)
-    pieces = cut(documents, tokenizer, capacity, end_id)
-    return assign(store(pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int"))), capacity)
+    return assign(store(cut(documents, tokenizer, capacity, end_id)), capacity)
 
 
-def assign(pieces: DataFrame, capacity: int) -> DataFrame:
-    """Places pieces(..., length, salt). At most capacity x SALTS counts go to the driver."""
+def assign(pieces: DataFrame, capacity: int, cell: int = CELL) -> DataFrame:
+    """Places pieces(..., length, row). What goes to the driver and back is a number a length, and one more for every `cell` pieces."""
     spark = pieces.sparkSession
-    cells = pieces.groupBy("length", "salt").count().orderBy("length", "salt").toPandas()
-    base = np.zeros((capacity + 1, SALTS), dtype=np.int64)
-    for n, s, c in zip(cells.length, cells.salt, cells["count"]):
-        base[n, s] = c
-    counts = {int(n): int(c) for n, c in enumerate(base.sum(1)) if c}
-    base = np.cumsum(base, axis=1) - base
+    counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
+    salts = spark.createDataFrame([(n, -(-c // cell)) for n, c in counts.items()], "length long, salts int")
+    salted = pieces.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("row"), F.col("salts")).cast("int")).drop("salts")  # a row a length
+    cells = salted.groupBy("length", "salt").count().orderBy("length", "salt").toPandas()
+    start = cells["count"].to_numpy()
+    start = np.cumsum(start) - start
+    n, salt = cells["length"].to_numpy(), cells["salt"].to_numpy()
+    start -= start[np.searchsorted(n, n)] if len(n) else 0
     table = np.array(place(counts, capacity), dtype=np.int64).reshape(-1, 5)
-    shared = spark.sparkContext.broadcast((base, table))
-    nth = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")) - 1
+    shared = spark.sparkContext.broadcast((n << 32 | salt, start, table))
+    nth = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32", "row")) - 1
 
     def find(parts):
-        base, table = shared.value
+        cells, start, table = shared.value
         span = np.int64(1 << 48)
         index = table[:, 0] * span + table[:, 1]
         for pdf in parts:
             n = pdf.length.to_numpy()
-            rank = base[n, pdf.salt.to_numpy()] + pdf.nth.to_numpy()
+            rank = start[np.searchsorted(cells, n << 32 | pdf.salt.to_numpy())] + pdf.nth.to_numpy()
             row = table[np.searchsorted(index, n * span + rank, side="right") - 1]
             k = rank - row[:, 1]
-            yield pdf.drop(columns=["salt", "nth"]).assign(sequence_id=row[:, 3] + k // row[:, 2], offset=row[:, 4] + k % row[:, 2] * n)
+            yield pdf.drop(columns=["salt", "nth", "row"]).assign(sequence_id=row[:, 3] + k // row[:, 2], offset=row[:, 4] + k % row[:, 2] * n)
 
     columns = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return pieces.withColumn("nth", nth).mapInPandas(find, columns)
+    return salted.withColumn("nth", nth).mapInPandas(find, columns)
