@@ -47,20 +47,70 @@ def test_fixed_places_of_the_format():
     assert len(webp.NEAR) == 120 and webp.NEAR[-1] == (8, 7)
 
 
-def test_array_path_equals_symbol_path():
-    rng = np.random.default_rng(3)
-    p = rng.integers(0, 256, (5, 64, 3), dtype=np.uint8)
-    stored = webp.encode_plain(p)
-    assert (webp.decode(stored)[:, :, :3] == p).all()
-    kept, webp._read_plain = webp._read_plain, lambda *a: None
+def met(stored):
+    """Kinds of transforms and of symbols that reading meets."""
+    out, kept = set(), (webp.predicted, webp.crossed, webp.place_of, webp.packed_bits)
+
+    def named(name, f):
+        def g(*a, **k):
+            out.add(name)
+            return f(*a, **k)
+
+        return g
+
+    webp.predicted, webp.crossed, webp.place_of, webp.packed_bits = (named(n, f) for n, f in zip(("predictor", "cross", "reference", "palette"), kept))
     try:
-        assert (webp.decode(stored)[:, :, :3] == p).all()
+        webp.decode(stored)
     finally:
-        webp._read_plain = kept
+        webp.predicted, webp.crossed, webp.place_of, webp.packed_bits = kept
+    return out
+
+
+def test_what_the_query_reads_back():
+    """The writer's own choice takes each part of the format where it pays, and files of prose are smaller than their payload."""
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcdefghijklmnoprstuvw"), rng.integers(2, 9))) for _ in range(300)]
+    prose = " ".join(rng.choice(words, 900))
+    twice = prose + " " * (-len(prose) % 3) + prose
+    few = "".join(rng.choice(["the", "of "], 3000, p=[0.8, 0.2]))
+    slope = "".join(chr(33 + (k // 64 + k % 64 // 3 + int(rng.integers(0, 2))) % 90) * 3 for k in range(4096))
+    for text, part in ((prose, None), (twice, "reference"), (few, "palette"), (slope, "predictor")):
+        stored, n = media.to_media(text)
+        assert media.read_media(stored).tobytes()[:n] == text.encode()
+        assert part is None or part in met(stored), part
+    stored, n = media.to_media(prose)
+    assert len(stored) < 0.85 * n
+
+
+def test_cross_colour_is_chosen():
+    rng = np.random.default_rng(7)
+    green = rng.integers(0, 100, (64, 64))
+    p = np.stack((green // 2 + rng.integers(0, 2, (64, 64)), green, green + rng.integers(0, 2, (64, 64)), np.full((64, 64), 255)), -1).astype(np.uint8)
+    stored = webp.encode_small(p)
+    assert (webp.decode(stored) == p).all() and "cross" in met(stored)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_lengths_of_codes(seed):
+    """Prefix codes are complete, no longer than allowed, and as short as a plain Huffman code where that fits."""
+    import heapq
+
+    rng = np.random.default_rng(seed)
+    counts = (rng.random(60) ** (1 + 3 * seed) * 1000).astype(np.int64)
+    n = [x for x in webp.code_lengths(counts, 15) if x]
+    assert sum(2.0**-x for x in n) == 1 and max(n) <= 15
+    heap = [int(c) for c in counts if c]
+    heapq.heapify(heap)
+    least = 0
+    while len(heap) > 1:
+        x = heapq.heappop(heap) + heapq.heappop(heap)
+        least += x
+        heapq.heappush(heap, x)
+    assert sum(int(c) * x for c, x in zip(counts[counts > 0], n)) == least or max(n) == 15
 
 
 def test_texts_round_trip():
-    for text in (None, "", "a", "x" * 192, "é" * 500, "y" * (3 * 64 * 16384 + 5)):
+    for text in (None, "", "a", "x" * 192, "é" * 500, "y" * (3 * 64 * 16384 + 5), "ab" * (3 * 64 * 16384)):
         stored, n = media.to_media(text)
         payload = media.read_media(stored).tobytes()
         raw = (text or "").encode()
