@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from satellion.llm.oracles import ORACLES  # noqa: F401
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -91,4 +93,3 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_jaccard_join, op3_mix, op4_pii, op5_pack, op6_media, op7_neighbours, op8_quality, op9_secrets, op10_licenses)}
-ORACLES: dict[str, str] = {}
