@@ -6,6 +6,8 @@ Pixels are uint8 arrays (height, width, 4) in the order red, green, blue, alpha.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 
 #: Fixed values of the format.
@@ -58,19 +60,24 @@ class Code:
     """Reads a canonical prefix code through a table: symbol << 4 | length by the next bits."""
 
     def __init__(self, lengths: list[int]):
+        used = [s for s, n in enumerate(lengths) if n]
+        if len(used) < 2:
+            self.mask, self.table = 0, [(used[0] if used else 0) << 4]
+            return
         codes, n = canonical(lengths)
-        longest = int(n.max(initial=0))
+        longest = int(n.max())
         self.mask = (1 << longest) - 1
-        if not longest:
-            self.table = [next((s for s, x in enumerate(lengths) if x), 0) << 4]
-            return
-        used = np.flatnonzero(n)
         each = 1 << (longest - n[used])
         nth = np.arange(1 << longest) - np.repeat(np.cumsum(each) - each, each)
         table = np.empty(1 << longest, dtype=np.int64)
-        table[np.repeat(codes[used], each) | nth << np.repeat(n[used], each)] = np.repeat(used << 4 | n[used], each)
+        table[np.repeat(codes[used], each) | nth << np.repeat(n[used], each)] = np.repeat(np.array(used) << 4 | n[used], each)
         self.table = table.tolist()
 
+    @property
+    def only(self) -> int | None:
+        """The only symbol, if there is one."""
+        return None if self.mask else self.table[0] >> 4
+
     def read(self, bits: Bits) -> int:
         at = bits.at
         t = self.table[int.from_bytes(bits.data[at >> 3 : (at >> 3) + 3], "little") >> (at & 7) & self.mask]
@@ -81,8 +88,8 @@ class Code:
 
 
 def read_code(bits: Bits, symbols: int) -> Code:
-    lengths = [0] * symbols
     if bits.read(1):
+        lengths = [0] * symbols
         two, wide = bits.read(1), bits.read(1)
         lengths[bits.read(8 if wide else 1)] = 1
         if two:
@@ -93,25 +100,31 @@ def read_code(bits: Bits, symbols: int) -> Code:
         first[CODE_LENGTH_ORDER[k]] = bits.read(3)
     outer = Code(first)
     left = 2 + bits.read(2 + 2 * bits.read(3)) if bits.read(1) else symbols
-    at, before = 0, 8
-    while at < symbols and left:
+    lengths, before, pos = [], 8, bits.at
+    table, mask, data = outer.table, outer.mask, bits.data
+    while len(lengths) < symbols and left:
         left -= 1
-        n = outer.read(bits)
+        x = int.from_bytes(data[pos >> 3 : (pos >> 3) + 3], "little") >> (pos & 7)
+        t = table[x & mask]
+        pos += t & 15
+        x >>= t & 15
+        n = t >> 4
         if n < 16:
-            lengths[at] = n
-            at += 1
+            lengths.append(n)
             before = n or before
+        elif n == 16:
+            lengths += [before] * (3 + (x & 3))
+            pos += 2
+        elif n == 17:
+            lengths += [0] * (3 + (x & 7))
+            pos += 3
         else:
-            times, value = _repeat(bits, n, before)
-            if at + times > symbols:
-                raise ValueError("too many code lengths")
-            lengths[at : at + times] = [value] * times
-            at += times
-    return Code(lengths)
-
-
-def _repeat(bits: Bits, n: int, before: int) -> tuple[int, int]:
-    return (3 + bits.read(2), before) if n == 16 else (3 + bits.read(3), 0) if n == 17 else (11 + bits.read(7), 0)
+            lengths += [0] * (11 + (x & 127))
+            pos += 7
+    if len(lengths) > symbols or pos > bits.end:
+        raise ValueError("too many code lengths, or the stream ends early")
+    bits.at = pos
+    return Code(lengths + [0] * (symbols - len(lengths)))
 
 
 def prefixed(bits: Bits, code: int) -> int:
@@ -130,6 +143,57 @@ def place_of(code: int, width: int) -> int:
     return max(1, x + y * width)
 
 
+def read_greens(bits: Bits, green: Code, far: Code, width: int, total: int) -> bytes:
+    """Greens of a picture whose other channels have one value each: symbols of green alone, and back-references."""
+    if green.only is not None and green.only < 256:
+        return bytes([green.only]) * total
+    out, data, pos = bytearray(), bits.data, bits.at
+    table, mask, put, distant, distant_mask, word = green.table, green.mask, out.append, far.table, far.mask, int.from_bytes
+    while (done := len(out)) < total:
+        # 57 bits are at hand: symbols of at most fifteen bits, until 42 are used up or a reference stands there; near the end, one symbol
+        x = word(data[pos >> 3 : (pos >> 3) + 8], "little") >> (pos & 7)
+        left = start = 42 if done < total - 48 else 1
+        while left > 0:
+            t = table[x & mask]
+            if t > 4095:
+                break
+            put(t >> 4)
+            n = t & 15
+            x >>= n
+            left -= n
+        pos += start - left
+        if t < 4096:
+            continue
+        pos += t & 15
+        x = word(data[pos >> 3 : (pos >> 3) + 8], "little") >> (pos & 7)
+        n = (t >> 4) - 256
+        if n > 23:
+            raise ValueError("a colour cache that isn't there")
+        if n > 3:
+            extra = (n - 2) >> 1
+            n = ((2 + (n & 1)) << extra) + (x & ((1 << extra) - 1))
+            x >>= extra
+            pos += extra
+        n += 1
+        t = distant[x & distant_mask]
+        pos += t & 15
+        d = t >> 4
+        if d > 3:
+            x >>= t & 15
+            extra = (d - 2) >> 1
+            d = ((2 + (d & 1)) << extra) + (x & ((1 << extra) - 1))
+            pos += extra
+        d = place_of(d + 1, width) if d < 120 else d - 119
+        at = len(out)
+        if d > at or at + n > total:
+            raise ValueError("a back-reference leaves the picture")
+        out += out[at - d : at - d + n] if d >= n else (out[at - d :] * (n // d + 1))[:n]
+    if pos > bits.end:
+        raise ValueError("the stream ends early")
+    bits.at = pos
+    return bytes(out)
+
+
 def read_picture(bits: Bits, width: int, height: int, outer: bool) -> np.ndarray:
     """Decodes one entropy-coded picture to (height, width, 4)."""
     cache_bits = bits.read(4) if bits.read(1) else 0
@@ -141,6 +205,11 @@ def read_picture(bits: Bits, width: int, height: int, outer: bool) -> np.ndarray
         groups = max(map(max, choice)) + 1
     codes = [[read_code(bits, n) for n in (280 + (1 << cache_bits if cache_bits else 0), 256, 256, 256, 40)] for _ in range(groups)]
     total = width * height
+    if groups == 1 and not cache_bits and None not in (rest := [c.only for c in codes[0][1:4]]):
+        picture = np.empty((height, width, 4), dtype=np.uint8)
+        picture[:] = rest[0], 0, rest[1], rest[2]
+        picture[:, :, 1] = np.frombuffer(read_greens(bits, codes[0][0], codes[0][4], width, total), dtype=np.uint8).reshape(height, width)
+        return picture
     out: list[int] = []
     cache = [0] * (1 << cache_bits) if cache_bits else None
     (green, red, blue, alpha, far), data, pos, end, down = codes[0], bits.data, bits.at, bits.end, 32 - cache_bits
@@ -373,7 +442,7 @@ class Writer:
     """Collects bits, lowest first."""
 
     def __init__(self):
-        self.parts: list[np.ndarray] = []
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.values: list[int] = []
         self.sizes: list[int] = []
 
@@ -382,20 +451,30 @@ class Writer:
         self.sizes.append(n)
 
     def put_all(self, values: np.ndarray, sizes: np.ndarray) -> None:
+        """Values of at most 32 bits."""
         self._flush()
-        for k in range(0, len(values), 1 << 17):
-            n = sizes[k : k + (1 << 17)]
-            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            self.parts.append((np.repeat(values[k : k + (1 << 17)], n) >> place & 1).astype(np.uint8))
+        self.parts.append((values, sizes))
 
     def _flush(self) -> None:
         if self.values:
-            values, sizes, self.values, self.sizes = np.array(self.values, dtype=np.int64), np.array(self.sizes, dtype=np.int64), [], []
-            self.put_all(values, sizes)
+            self.parts.append((np.array(self.values, dtype=np.int64), np.array(self.sizes, dtype=np.int64)))
+            self.values, self.sizes = [], []
 
     def bytes(self) -> bytes:
         self._flush()
-        return np.packbits(np.concatenate(self.parts), bitorder="little").tobytes()
+        values, sizes = (np.concatenate([p[k] for p in self.parts]) for k in (0, 1))
+        end = np.cumsum(sizes)
+        total = -(-int(end[-1]) // 8)
+        at = end - sizes
+        byte, shifted = at >> 3, values << (at & 7)
+        # no bit is set twice, so sums of bytes are what they hold
+        out = np.zeros(total, dtype=np.uint8)
+        for k in range(5):
+            part = shifted >> (8 * k) & 255
+            some = np.flatnonzero(part)
+            if len(some):
+                out += np.bincount(byte[some] + k, weights=part[some], minlength=total).astype(np.uint8)
+        return out.tobytes()
 
 
 def code_lengths(counts: np.ndarray, most: int = 15) -> list[int]:
@@ -490,9 +569,14 @@ def prefix_of(value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def earlier(key: np.ndarray) -> np.ndarray:
-    """For each place the last place before it with an equal key, or -1."""
-    order = np.argsort(key, kind="stable")
-    same = key[order[1:]] == key[order[:-1]]
+    """For each place the last place before it with an equal key (48 bits at most), or -1."""
+    if len(key) <= 1 << 16:
+        both = np.sort(key.astype(np.uint64) << np.uint64(16) | np.arange(len(key), dtype=np.uint64))
+        order, key = (both & np.uint64(65535)).astype(np.int64), both >> np.uint64(16)
+    else:
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+    same = key[1:] == key[:-1]
     out = np.full(len(key), -1, dtype=np.int64)
     out[order[1:][same]] = order[:-1][same]
     return out
@@ -503,23 +587,34 @@ def packed(pixels: np.ndarray) -> np.ndarray:
     return (pixels.astype(np.uint32) @ np.array([1 << 16, 1 << 8, 1, 1 << 24], dtype=np.uint32)).ravel()
 
 
-def references_of(p: np.ndarray) -> list[tuple[int, int, int]]:
-    """(place, length, distance) of runs of three pixels or more that stand before, greedily, the nearest earlier one each."""
-    if len(p) < 4:
+def references_of(p: np.ndarray, least: int = 3) -> list[tuple[int, int, int]]:
+    """(place, length, distance) of runs of `least` values or more that stand before, greedily, by the nearest earlier place of each run's start."""
+    m = len(p) - least + 1
+    if m < 2:
         return []
     q = p.astype(np.uint64)
-    before = earlier((q[:-2] * np.uint64(0x9E3779B97F4A7C15) ^ q[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F) ^ q[2:])
+    key = q[:m]
+    if p.dtype == np.uint8 and least <= 6:
+        for k in range(1, least):
+            key = key << np.uint64(8) | q[k : k + m]
+    else:
+        for k in range(1, least):
+            key = key * np.uint64(0x9E3779B97F4A7C15) ^ q[k : k + m]
+        key = key * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(16)
+    before = earlier(key)
+    at = np.flatnonzero(before >= 0)
+    for k in range(least):
+        at = at[p[at + k] == p[before[at] + k]]
+    if not len(at):
+        return []
+    d = at - before[at]
+    last = np.append(np.flatnonzero((np.diff(at) != 1) | (np.diff(d) != 0)), len(at) - 1)
+    n = np.minimum(np.repeat(at[last], np.diff(np.append(-1, last))) - at + least, 4096)
     out, end = [], 0
-    for at in np.flatnonzero(before >= 0).tolist():
-        if at < end:
-            continue
-        was, most = int(before[at]), min(4096, len(p) - at)
-        other = p[at : at + most] != p[was : was + most]
-        n = int(np.argmax(other))
-        n = n if other[n] else most
-        if n >= 3:
-            out.append((at, n, at - was))
-            end = at + n
+    for x in zip(at.tolist(), n.tolist(), d.tolist()):
+        if x[0] >= end:
+            out.append(x)
+            end = x[0] + x[1]
     return out
 
 
@@ -536,6 +631,37 @@ def cost(counts: np.ndarray) -> float:
     return float(n.sum() * np.log2(n.sum()) - (n * np.log2(n)).sum() + 5 * len(n)) if len(n) > 1 else 8.0
 
 
+@functools.lru_cache(64)
+def _near(width: int) -> dict[int, int]:
+    """Codes of near distances, the lowest of each."""
+    return {max(1, x + y * width): k + 1 for k, (x, y) in reversed(list(enumerate(NEAR)))}
+
+
+def near_codes(d: np.ndarray, width: int) -> np.ndarray:
+    """Distance codes of distances."""
+    near = _near(width)
+    return np.array([near.get(x, x + 120) for x in d.tolist()], dtype=np.int64)
+
+
+def write_greens(w: Writer, green: np.ndarray, width: int) -> None:
+    """The outer picture of opaque pixels whose red and blue are 0: symbols of green and back-references."""
+    w.put(0, 2)  # no cache, one group of codes
+    place, n, d = np.array(references_of(green, 6), dtype=np.int64).reshape(-1, 3).T
+    open_ = np.bincount(place, minlength=len(green) + 1) - np.bincount(place + n, minlength=len(green) + 1)
+    at = np.flatnonzero(np.cumsum(open_)[:-1] == 0)
+    (ns, nv, nb), (ds, dv, db) = prefix_of(n), prefix_of(near_codes(d, width))
+    symbols = green[at].astype(np.int64)
+    code, size = write_code(w, code_lengths(np.bincount(np.concatenate((symbols, 256 + ns)), minlength=280)))
+    for value in (0, 0, 255):  # codes of one symbol, of eight bits
+        w.put(0b101 | value << 3, 11)
+    far, far_size = write_code(w, code_lengths(np.bincount(ds, minlength=40)))
+    order = np.argsort(np.concatenate((at, place, place)), kind="stable")
+    w.put_all(
+        np.concatenate((code[symbols], code[256 + ns] | nv << size[256 + ns], far[ds] | dv << far_size[ds]))[order],
+        np.concatenate((size[symbols], size[256 + ns] + nb, far_size[ds] + db))[order],
+    )
+
+
 def symbols_of(pixels: np.ndarray, cache_bits: int, references: bool | list) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """Symbols and their kinds, four a token, and counts by kind. Kinds are green, red, blue, alpha, distance; -100 - n stands for n extra bits."""
     width = pixels.shape[1]
@@ -554,12 +680,9 @@ def symbols_of(pixels: np.ndarray, cache_bits: int, references: bool | list) ->
         symbols[hit, 0] = 280 + h[at][hit]
         kinds[hit, 1:] = -100
     if found:
-        near = {}
-        for k, (x, y) in reversed(list(enumerate(NEAR))):
-            near[max(1, x + y * width)] = k + 1
         place, n, d = np.array(found, dtype=np.int64).T
         ns, nv, nb = prefix_of(n)
-        ds, dv, db = prefix_of(np.array([near.get(x, x + 120) for x in d.tolist()]))
+        ds, dv, db = prefix_of(near_codes(d, width))
         order = np.argsort(np.concatenate((at, place)), kind="stable")
         symbols = np.concatenate((symbols, np.stack((256 + ns, nv, ds, dv), 1)))[order]
         kinds = np.concatenate((kinds, np.stack((np.zeros_like(n), -100 - nb, np.full_like(n, 4), -100 - db), 1)))[order]
@@ -702,3 +825,27 @@ def encode_small(pixels: np.ndarray) -> bytes:
     if 4 * (colours := len(np.unique(p))) <= len(p) and colours <= 256:
         out = min(out, encode(pixels, [("palette",)], 0, True), key=len)
     return out
+
+
+def entropy(values: np.ndarray) -> float:
+    """Bits a value."""
+    c = np.bincount(values)
+    c = c[c > 0]
+    return float(np.log2(c.sum()) - (c * np.log2(c)).sum() / c.sum())
+
+
+def encode_grey(grey: np.ndarray) -> bytes:
+    """One opaque file of (height, width) samples, green taken from the other channels; other transforms where they promise to pay and do."""
+    height, width = grey.shape
+    w = Writer()
+    for value, n in ((0x2F, 8), (width - 1, 14), (height - 1, 14), (0, 4), (1, 1), (SUBTRACT_GREEN, 2), (0, 1)):
+        w.put(value, n)
+    flat = grey.ravel()
+    write_greens(w, flat, width)
+    out = _file(w.bytes())
+    own, top = entropy(flat), flat[width:] - flat[:-width]
+    if np.count_nonzero(np.bincount(flat)) <= 16 or min(entropy(flat[1:] - flat[:-1]), entropy(top) if len(top) else own) < 0.9 * own:
+        pixels = np.full((height, width, 4), 255, dtype=np.uint8)
+        pixels[:, :, :3] = grey[:, :, None]
+        out = min(out, encode_small(pixels), key=len)
+    return out

@@ -486,8 +486,8 @@ def test_media_by_brute_force(spark):
         r = by[i]
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]))
         assert (r.media_bytes, r.media_sha256) == (len(r.media), hashlib.sha256(bytes(r.media)).hexdigest())
-        x = np.frombuffer(payload, np.uint8).reshape(-1, 64, 3).astype(int)
-        assert r.feature == f"{len(x)}x64;" + ",".join(f"{x[:, :, c].mean():.3f}" for c in range(3)) + f";{np.abs(np.diff(x, axis=1)).mean():.3f}"
+        x = np.frombuffer(payload, np.uint8).reshape(-1, 192).astype(int)
+        assert r.feature == f"{len(x)}x192;{x.mean():.3f};{np.abs(np.diff(x, axis=1)).mean():.3f}"
     assert [by[7][k] for k in by[7].__fields__ if k != "doc_id"] == [by[8][k] for k in by[8].__fields__ if k != "doc_id"]
 
 
