@@ -89,12 +89,10 @@ class Code:
 
 def read_code(bits: Bits, symbols: int) -> Code:
     if bits.read(1):
-        lengths = [0] * symbols
         two, wide = bits.read(1), bits.read(1)
-        lengths[bits.read(8 if wide else 1)] = 1
-        if two:
-            lengths[bits.read(8)] = 1
-        return Code(lengths)
+        first = bits.read(8 if wide else 1)
+        second = bits.read(8) if two else first
+        return Code([int(s in (first, second)) for s in range(max(first, second) + 1)])
     first = [0] * 19
     for k in range(4 + bits.read(4)):
         first[CODE_LENGTH_ORDER[k]] = bits.read(3)
