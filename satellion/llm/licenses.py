@@ -9,6 +9,7 @@ stand. A null text is empty.
 from __future__ import annotations
 
 import functools
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -312,16 +313,36 @@ def rules() -> list[tuple[int, str, str, str]]:
     return sorted(out, key=lambda r: r[0])
 
 
+#: Words too common in any prose to tell a licence.
+_COMMON = set("the of and or in to any use not this you may for with all be new by is as same at version public general software".split())
+
+
+def anchors() -> list[str]:
+    """A small set of words such that every match of a rule or phrase holds one: greedily, those that most rules need. Words of four letters or more may be parts of words; gpl may have one letter before it."""
+    open_ = []
+    for _, _, key, rx in rules():
+        sure, was = rx.replace(_SPELLED["@"], "licen").replace(_SPELLED["#"], " "), ""
+        while sure != was:  # what is not in a group, a class or optional stands in every match
+            sure, was = re.sub(r"\(\?:[^()]*\)\??|\[[^]]*\]\??|[^ )\]]\?| \?", " ", sure), sure
+        open_.append({*key.split(), *sure.split()})
+    open_ = [{w for w in r if len(w) > 1} - _COMMON for r in [*open_, *(set(p.split()) for p in PHRASES.values())]]
+    out = []
+    while open_:
+        hits = {w: [any(w == x or (len(w) > 3 and w in x) or (w == "gpl" and x in ("lgpl", "agpl")) for x in r) for r in open_] for w in {w for r in open_ for w in r}}
+        best = max(sorted(hits), key=lambda w: (sum(hits[w]), len(w)))
+        out.append(best)
+        open_ = [r for r, hit in zip(open_, hits[best]) if not hit]
+    return out
+
+
 def _gate(low: str) -> Column:
-    """Whether a lower-cased text holds the longest word of any keyword: plain substring tests, and a word test, with or without a joined version, for the shortest ones."""
-    words = sorted({max(k.split(), key=len) for _, _, k, _ in rules()} | {max(p.split(), key=len) for p in PHRASES.values()})
-    out = F.contains(F.col(low), F.lit("cc")) & F.col(low).rlike("(?<![a-z0-9])cc0?(?![a-z0-9])")
-    for w in words:
-        if len(w) > 3 and not any(o != w and o in w for o in words if len(o) > 3):
-            out = out | F.contains(F.col(low), F.lit(w))
-    short = [w for w in words if len(w) <= 3 and w not in ("cc", "cc0")]
-    for w in short:
-        out = out | (F.contains(F.col(low), F.lit(w)) & F.col(low).rlike(f"(?<![a-z0-9]){w}v?(?:[0-9]|(?![a-z0-9]))"))
+    """Whether a lower-cased text holds an anchor: plain substring tests, and for the shortest ones a test of the letters around."""
+    out = F.lit(False)
+    for w in anchors():
+        test = F.contains(F.col(low), F.lit(w))
+        if len(w) <= 3:
+            test = test & F.col(low).rlike(f"(?<![a-z0-9]){'[al]?' if w == 'gpl' else ''}{w}v?(?:[0-9]|(?![a-z0-9]))")
+        out = out | test
     return out
 
 
