@@ -75,8 +75,3 @@ def vcf_records(strings: DataFrame, refs: DataFrame) -> DataFrame:
         "chrom", (F.col("first_pos") - 1).alias("pos"), F.concat(F.lit("td"), F.col("ref_id")).alias("id"), F.when(F.col("is_singleton"), "PASS").otherwise("SC").alias("filter"),
         info.alias("info"), F.lit("GT:SP:CGL").alias("format"), F.concat_ws(":", "gt", "sp", "cgl").alias("sample"),
     )
-
-
-def largest_change_window(votes: DataFrame) -> DataFrame:
-    """Votes with their reference's largest change, without a join."""
-    return votes.withColumn("largest", F.max(F.abs("copies")).over(W.partitionBy("ref_id")))

@@ -38,6 +38,18 @@ def mark_best(map_: DataFrame, rank: DataFrame, rankflank: DataFrame) -> DataFra
     return map_.drop("bbb").join(both, key, "left").withColumn("bbb", F.coalesce("bbb", F.lit(0)))
 
 
+def flag_best(rows: DataFrame, item: str, first: tuple[str, float], second: tuple[str, float]) -> DataFrame:
+    """rows with bbb: best of their item by two scores, each at least its limit, and untied in one of both at least.
+
+    What rank_with_ties twice and mark_best give, in one pass over the item's rows and without a join, where both scores stand in one frame.
+    """
+    of_item = W.partitionBy(item)
+    best = {f"_best{k}": F.max(F.when(F.col(score) >= least, F.col(score))).over(of_item) for k, (score, least) in enumerate((first, second))}
+    hit = [F.coalesce(F.col(score) == F.col(f"_best{k}"), F.lit(False)) for k, (score, _) in enumerate((first, second))]
+    alone = [F.sum(h.cast("int")).over(of_item) == 1 for h in hit]
+    return rows.withColumns(best).withColumn("bbb", (hit[0] & hit[1] & (alone[0] | alone[1])).cast("int")).drop(*best)
+
+
 def multi_mapped(rows: DataFrame) -> DataFrame:
     """Pairs that lose their flag. rows: best pairs (sid, ref_id, read_id, prof_score, flank_score, chrom, first_pos, last_pos, read_len).
 

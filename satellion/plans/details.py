@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from satellion.functions import scalars
 from satellion.plans.adapters import read_trs, refs, sql, table
 from satellion.plans.registry import query
+from satellion.sources import sinks
 from satellion.sources.readers import mirror_reverse
 
 TURN = "reverse(translate({0},'ACGT','TGCA'))"
@@ -46,18 +47,9 @@ def j15(s, d):
     return read_trs(s, d).join(own, "ref_id").select("read_id", "ref_id", F.round(F.col("copynum") - F.col("of_ref")).cast("long").alias("gained"))
 
 
-@query("j24_w10_size_band", sql("SELECT a.ref_id AS a, b.ref_id AS b FROM refs a JOIN refs b ON a.chrom=b.chrom AND left(a.pattern, 4)=left(b.pattern, 4) AND a.ref_id<b.ref_id AND 10*abs(length(a.pattern)-length(b.pattern)) <= length(a.pattern)"))
+@query("j24_w10_size_band", sql("SELECT a.ref_id AS a, b.ref_id AS b FROM refs a JOIN refs b ON a.chrom=b.chrom AND a.ref_id<b.ref_id AND 10*abs(length(a.pattern)-length(b.pattern)) <= length(a.pattern)"))
 def j24(s, d):
-    """Pairs of a cluster whose pattern sizes are near; the first symbols narrow the clusters down, and sizes are part of the key by bands, so a task holds one band."""
-    r = refs(s, d).select("ref_id", "chrom", F.substring("pattern", 1, 4).alias("head"), F.length("pattern").alias("n"), F.floor(F.length("pattern") / 8).alias("band"))
-    a = r.select(F.col("ref_id").alias("a"), "chrom", "head", F.col("n").alias("na"), F.explode(F.sequence(F.floor((F.col("n") - F.floor(F.col("n") / 10)) / 8), F.floor((F.col("n") + F.floor(F.col("n") / 10)) / 8))).alias("band"))
-    b = r.select(F.col("ref_id").alias("b"), "chrom", "head", F.col("n").alias("nb"), "band")
-    return a.join(b, ["chrom", "head", "band"]).where("a < b and 10 * abs(na - nb) <= na").select("a", "b")
-
-
-@query("j24_w10_size_band_whole")
-def j24_whole(s, d):
-    """All pairs of a cluster whose pattern sizes are near, whatever their first symbols; sizes are part of the key by bands."""
+    """All pairs of a cluster whose pattern sizes are near; sizes are part of the key by bands, so a task holds one band."""
     r = refs(s, d).select("ref_id", "chrom", F.length("pattern").alias("n"), F.floor(F.length("pattern") / 8).alias("band"))
     a = r.select(F.col("ref_id").alias("a"), "chrom", F.col("n").alias("na"), F.explode(F.sequence(F.floor((F.col("n") - F.floor(F.col("n") / 10)) / 8), F.floor((F.col("n") + F.floor(F.col("n") / 10)) / 8))).alias("band"))
     b = r.select(F.col("ref_id").alias("b"), "chrom", F.col("n").alias("nb"), "band")
@@ -122,3 +114,24 @@ def d02(s, d):
 def m02(s, d):
     left, right = F.col("left_flank"), F.col("right_flank")
     return read_trs(s, d).select("read_id", F.least(left, right).alias("low"), F.greatest(left, right).alias("high"), F.abs(left - right).alias("apart"), (-F.col("ref_id")).alias("signed_ref"))
+
+
+@query("s29_spanning_reads", sql("SELECT o_orderkey AS sid, '>' || o_orderpriority || chr(10) || o_orderstatus AS value FROM orders WHERE o_orderkey IN (SELECT sid FROM reads WHERE left_flank >= 10 AND right_flank >= 25)"))
+def s29(s, d):
+    """Orders stand for reads."""
+    reads = table(s, d, "orders").select(F.col("o_orderkey").alias("sid"), F.col("o_orderpriority").alias("head"), F.col("o_orderstatus").alias("dna"))
+    return sinks.spanning_reads(reads, read_trs(s, d).where("right_flank >= 25"))
+
+
+@query("s32_filtered_references", sql("SELECT -ref_id AS ref_id, chrom FROM refs WHERE ref_id NOT IN (SELECT ref_id FROM reads WHERE flank_score < 0.93 AND prof_score < 0.92)"))
+def s32(s, d):
+    """References are written with negative ids."""
+    own = refs(s, d).select((-F.col("ref_id")).alias("ref_id"), "chrom")
+    return sinks.filtered_references(own, read_trs(s, d).where("flank_score < 0.93 and prof_score < 0.92").select("ref_id"))
+
+
+@query("s16_redundancy_lines", sql("SELECT min(ref_id) AS head, string_agg(CAST(-ref_id AS VARCHAR), ' ' ORDER BY ref_id) AS value FROM refs GROUP BY chrom, length(pattern)"))
+def s16(s, d):
+    """Patterns of one size of a cluster stand for a group."""
+    own = refs(s, d).select(F.col("ref_id").alias("rid"), F.min("ref_id").over(W.partitionBy("chrom", F.length("pattern"))).alias("head"))
+    return sinks.redundancy_lines(own)

@@ -15,12 +15,16 @@ from satellion.plans.registry import query
 RANK = "rank AS (SELECT ref_id, read_id, sid, prof_score AS score, count(*) OVER (PARTITION BY sid) - 1 AS ties FROM (SELECT *, max(prof_score) OVER (PARTITION BY sid) AS m FROM reads WHERE prof_score >= 0.92) WHERE prof_score = m)"
 RANKFLANK = "rankflank AS (SELECT ref_id, read_id, sid, flank_score AS score, count(*) OVER (PARTITION BY sid) - 1 AS ties FROM (SELECT *, max(flank_score) OVER (PARTITION BY sid) AS m FROM reads WHERE flank_score >= 0.90) WHERE flank_score = m)"
 BBB = "bbb AS (SELECT r.ref_id, r.read_id, r.sid FROM rank r JOIN rankflank f USING (ref_id, read_id) WHERE r.ties = 0 OR f.ties = 0)"
-VOTES = """votes AS (SELECT r.*, f.copynum AS ref_copynum, CASE WHEN r.copynum > f.copynum-0.8 AND r.copynum < f.copynum+0.8 THEN 0
+#: Best pairs of a read's repeats: one read may hold several, each of its own place.
+PAIRS = """pairs AS (SELECT * FROM (SELECT *, count(*) FILTER (prof_score = p) OVER w AS np, count(*) FILTER (flank_score = f) OVER w AS nf FROM (
+  SELECT *, max(prof_score) FILTER (prof_score >= 0.92) OVER v AS p, max(flank_score) FILTER (flank_score >= 0.90) OVER v AS f FROM reads WINDOW v AS (PARTITION BY read_id)
+  ) WINDOW w AS (PARTITION BY read_id)) WHERE prof_score = p AND flank_score = f AND (np = 1 OR nf = 1))"""
+VOTES = PAIRS + """, votes AS (SELECT r.*, f.copynum AS ref_copynum, CASE WHEN r.copynum > f.copynum-0.8 AND r.copynum < f.copynum+0.8 THEN 0
   WHEN r.copynum > f.copynum THEN 1+CAST(trunc(round(r.copynum-(f.copynum+0.8),6)) AS INTEGER) ELSE -1-CAST(trunc(round((f.copynum-0.8)-r.copynum,6)) AS INTEGER) END AS copies
-  FROM reads r JOIN refs f USING (ref_id) WHERE left_flank >= 10 AND right_flank >= 10)"""
+  FROM pairs r JOIN refs f USING (ref_id) WHERE left_flank >= 10 AND right_flank >= 10)"""
 SUPPORT = f"""{VOTES}, counted AS (SELECT ref_id, copies, CAST(copies = 0 AS INTEGER) AS same_as_ref, count(*) AS support, CASE WHEN copies = 0 THEN max(ref_copynum) ELSE 0.0 END AS copies_float, min(read_id) AS representative
   FROM votes GROUP BY ref_id, copies), support AS (SELECT * FROM counted UNION ALL SELECT ref_id, 0, 1, 0, copynum, NULL FROM refs
-  WHERE ref_id IN (SELECT ref_id FROM reads) AND ref_id NOT IN (SELECT ref_id FROM counted WHERE copies = 0))"""
+  WHERE ref_id IN (SELECT ref_id FROM pairs) AND ref_id NOT IN (SELECT ref_id FROM counted WHERE copies = 0))"""
 CLASSES = f"""{SUPPORT}, g AS (SELECT ref_id, CAST(sum(CAST(support >= 2 AS INTEGER)) AS INTEGER) AS n, max(CASE WHEN support >= 2 THEN same_as_ref ELSE 0 END) AS same, sum(support) AS total,
   max(CASE WHEN support >= 1 AND copies <> 0 THEN 1 ELSE 0 END) AS any_change FROM support GROUP BY ref_id),
   classes AS (SELECT ref_id, n AS alleles_sup, same AS allele_sup_same_as_ref, CAST(n > 0 AS INTEGER) AS has_support, CAST(total >= 1 AS INTEGER) AS span1, CAST(total >= 2 AS INTEGER) AS span_n,
@@ -40,18 +44,25 @@ def _rankflank(s, d):
     return ranking.rank_with_ties(read_trs(s, d).select("ref_id", "read_id", "sid", F.col("flank_score").alias("score")), "sid", "score", 0.90)
 
 
+CUTS = ("prof_score", 0.92), ("flank_score", 0.90)
+
+
 def _bbb(s, d):
-    map_ = read_trs(s, d).select("ref_id", "read_id", "sid")
-    return ranking.mark_best(map_, _rank(s, d), _rankflank(s, d))
+    return ranking.flag_best(read_trs(s, d), "sid", *CUTS).select("ref_id", "read_id", "sid", "bbb")
+
+
+def _pairs(s, d):
+    """Flagged pairs of a read's repeats and references."""
+    return ranking.flag_best(read_trs(s, d), "read_id", *CUTS).where("bbb = 1")
 
 
 def _support(s, d):
-    return alleles.call_alleles(read_trs(s, d), refs(s, d))
+    return alleles.call_alleles(_pairs(s, d), refs(s, d))
 
 
 def _votes(s, d):
     own = refs(s, d).select("ref_id", F.col("copynum").alias("ref_copynum"))
-    r = read_trs(s, d).where("left_flank >= 10 and right_flank >= 10").join(own, "ref_id")
+    r = _pairs(s, d).where("left_flank >= 10 and right_flank >= 10").join(own, "ref_id")
     return r.withColumn("copies", alleles.copies_of(F.col("ref_copynum"), F.col("copynum")))
 
 
@@ -81,15 +92,15 @@ def d19(s, d):
     return _bbb(s, d)
 
 
-MULTI = f"""{RANK}, {RANKFLANK}, {BBB}, o AS (SELECT b.*, f.chrom, f.first_pos, f.last_pos, row_number() OVER w AS n, count(*) OVER (PARTITION BY b.sid) AS c,
+MULTI = f"""{PAIRS}, o AS (SELECT b.*, f.chrom, f.first_pos, f.last_pos, row_number() OVER w AS n,
   lead(b.ref_id) OVER w AS ref2, lead(b.read_id) OVER w AS read2, lead(chrom) OVER w AS chrom2, lead(first_pos) OVER w AS first2, lead(last_pos) OVER w AS last2
-  FROM bbb b JOIN refs f USING (ref_id) JOIN reads r ON r.read_id = b.read_id WINDOW w AS (PARTITION BY b.sid ORDER BY r.prof_score, r.flank_score, b.ref_id, b.read_id)),
+  FROM pairs b JOIN refs f USING (ref_id) WINDOW w AS (PARTITION BY b.sid ORDER BY b.prof_score, b.flank_score, b.ref_id, b.read_id)),
   bad AS (SELECT * FROM o WHERE n = 1 AND ref2 IS NOT NULL AND NOT (chrom = chrom2 AND greatest(last_pos,last2)-least(first_pos,first2)+1 <= 5000))"""
 
 
 @query("d13_multi_mapped", sql("SELECT ref_id, read_id FROM bad UNION ALL SELECT ref2, read2 FROM bad", MULTI))
 def d13(s, d):
-    rows = _bbb(s, d).where("bbb = 1").select("ref_id", "read_id", "sid").join(read_trs(s, d).select("read_id", "prof_score", "flank_score"), "read_id")
+    rows = _pairs(s, d).select("ref_id", "read_id", "sid", "prof_score", "flank_score")
     rows = rows.join(refs(s, d).select("ref_id", "chrom", "first_pos", "last_pos"), "ref_id").withColumn("read_len", F.lit(5000))
     return ranking.multi_mapped(rows)
 
@@ -302,9 +313,10 @@ def j28(s, d):
     return table(s, d, "customer").join(o, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", F.coalesce("m", "c_acctbal").alias("c_acctbal"))
 
 
-@query("j30_anti", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("j30_anti", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")
 def j30(s, d):
-    return table(s, d, "customer").join(table(s, d, "orders").select("o_custkey"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+    urgent = table(s, d, "orders").where("o_orderpriority = '1-URGENT'").select("o_custkey")
+    return table(s, d, "customer").join(urgent, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 
 
 @query("j31_semi", "SELECT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
@@ -312,9 +324,11 @@ def j31(s, d):
     return table(s, d, "documents").select("doc_id").join(table(s, d, "labels").select("doc_id"), "doc_id", "left_semi")
 
 
-@query("j32_symmetric_difference", "SELECT coalesce(a.k, b.k) AS k FROM (SELECT DISTINCT c_nationkey AS k FROM customer) a FULL JOIN (SELECT DISTINCT s_nationkey AS k FROM supplier WHERE s_acctbal > 0) b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL")
+@query("j32_symmetric_difference", "SELECT coalesce(a.k, b.k) AS k FROM (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_quantity >= 45) a FULL JOIN (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_quantity <= 5) b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL")
 def j32(s, d):
-    a, b = table(s, d, "customer").select(F.col("c_nationkey").alias("a")).distinct(), table(s, d, "supplier").where("s_acctbal > 0").select(F.col("s_nationkey").alias("b")).distinct()
+    """Keys of one of two sets alone."""
+    rows = table(s, d, "lineitem")
+    a, b = (rows.where(c).select(F.col("l_partkey").alias(n)).distinct() for c, n in (("l_quantity >= 45", "a"), ("l_quantity <= 5", "b")))
     return a.join(b, F.col("a") == F.col("b"), "full_outer").where("a is null or b is null").select(F.coalesce("a", "b").alias("k"))
 
 
