@@ -147,10 +147,11 @@ def read_greens(bits: Bits, green: Code, far: Code, width: int, total: int) -> b
         return bytes([green.only]) * total
     out, data, pos = bytearray(), bits.data, bits.at
     table, mask, put, distant, distant_mask, word = green.table, green.mask, out.append, far.table, far.mask, int.from_bytes
+    most = 58 - mask.bit_length()
     while (done := len(out)) < total:
-        # 57 bits are at hand: symbols of at most fifteen bits, until 42 are used up or a reference stands there; near the end, one symbol
+        # 57 bits are at hand: symbols until another may not fit, or a reference stands there; near the end, one symbol
         x = word(data[pos >> 3 : (pos >> 3) + 8], "little") >> (pos & 7)
-        left = start = 42 if done < total - 48 else 1
+        left = start = most if done < total - 64 else 1
         while left > 0:
             t = table[x & mask]
             if t > 4095:
@@ -524,24 +525,20 @@ def write_code(w: Writer, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
             w.put(s, 8)
         return canonical([1 if s in used else 0 for s in range(len(lengths))])
     tokens: list[tuple[int, int, int]] = []
-    at, before = 0, 8
-    while at < len(lengths):
-        n = lengths[at]
-        run = 1
-        while at + run < len(lengths) and lengths[at + run] == n:
-            run += 1
-        if n == 0 and run >= 3:
-            run = min(run, 138)
-            tokens.append((18, run - 11, 7) if run >= 11 else (17, run - 3, 3))
-        elif n and n == before and run >= 3:
-            run = min(run, 6)
-            tokens.append((16, run - 3, 2))
-        else:
-            run = 1
-            tokens.append((n, 0, 0))
-            before = n or before
-        at += run
-    counts = np.bincount([t for t, _, _ in tokens], minlength=19)
+    n = np.array(lengths)
+    edge = np.flatnonzero(np.diff(n)) + 1
+    before = 8
+    for value, run in zip(n[np.append(0, edge)].tolist(), np.diff(np.concatenate(([0], edge, [len(n)]))).tolist()):
+        if value and value != before:
+            tokens.append((value, 0, 0))
+            run, before = run - 1, value
+        while run > 2:
+            some = min(run, 6 if value else 138)
+            tokens.append((16, some - 3, 2) if value else (18, some - 11, 7) if some >= 11 else (17, some - 3, 3))
+            run -= some
+        tokens += [(value, 0, 0)] * run
+    t, extra, wide = np.array(tokens, dtype=np.int64).T
+    counts = np.bincount(t, minlength=19)
     if (counts > 0).sum() == 1:
         counts[0 if not counts[0] else 1] = 1
     outer_lengths = code_lengths(counts, 7)
@@ -550,11 +547,9 @@ def write_code(w: Writer, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
     w.put(last + 1 - 4, 4)
     for k in range(last + 1):
         w.put(outer_lengths[CODE_LENGTH_ORDER[k]], 3)
-    codes, sizes = (x.tolist() for x in canonical(outer_lengths))
+    codes, sizes = canonical(outer_lengths)
     w.put(0, 1)
-    for t, extra, n in tokens:
-        w.put(codes[t], sizes[t])
-        w.put(extra, n)
+    w.put_all(codes[t] | extra << sizes[t], sizes[t] + wide)
     return canonical(lengths)
 
 
@@ -601,7 +596,7 @@ def references_of(p: np.ndarray, least: int = 3) -> list[tuple[int, int, int]]:
         key = key * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(16)
     before = earlier(key)
     at = np.flatnonzero(before >= 0)
-    for k in range(least):
+    for k in range(0 if p.dtype == np.uint8 and least <= 6 else least):  # keys that are hashes may agree by chance
         at = at[p[at + k] == p[before[at] + k]]
     if not len(at):
         return []
@@ -649,10 +644,11 @@ def write_greens(w: Writer, green: np.ndarray, width: int) -> None:
     at = np.flatnonzero(np.cumsum(open_)[:-1] == 0)
     (ns, nv, nb), (ds, dv, db) = prefix_of(n), prefix_of(near_codes(d, width))
     symbols = green[at].astype(np.int64)
-    code, size = write_code(w, code_lengths(np.bincount(np.concatenate((symbols, 256 + ns)), minlength=280)))
+    # short codes make small tables for the reader
+    code, size = write_code(w, code_lengths(np.bincount(np.concatenate((symbols, 256 + ns)), minlength=280), 10))
     for value in (0, 0, 255):  # codes of one symbol, of eight bits
         w.put(0b101 | value << 3, 11)
-    far, far_size = write_code(w, code_lengths(np.bincount(ds, minlength=40)))
+    far, far_size = write_code(w, code_lengths(np.bincount(ds, minlength=40), 8))
     order = np.argsort(np.concatenate((at, place, place)), kind="stable")
     w.put_all(
         np.concatenate((code[symbols], code[256 + ns] | nv << size[256 + ns], far[ds] | dv << far_size[ds]))[order],
@@ -825,11 +821,10 @@ def encode_small(pixels: np.ndarray) -> bytes:
     return out
 
 
-def entropy(values: np.ndarray) -> float:
+def entropy(counts: np.ndarray) -> float:
     """Bits a value."""
-    c = np.bincount(values)
-    c = c[c > 0]
-    return float(np.log2(c.sum()) - (c * np.log2(c)).sum() / c.sum())
+    c = counts[counts > 0]
+    return float(np.log2(c.sum()) - c @ np.log2(c) / c.sum())
 
 
 def encode_grey(grey: np.ndarray) -> bytes:
@@ -841,8 +836,9 @@ def encode_grey(grey: np.ndarray) -> bytes:
     flat = grey.ravel()
     write_greens(w, flat, width)
     out = _file(w.bytes())
-    own, top = entropy(flat), flat[width:] - flat[:-width]
-    if np.count_nonzero(np.bincount(flat)) <= 16 or min(entropy(flat[1:] - flat[:-1]), entropy(top) if len(top) else own) < 0.9 * own:
+    counts = np.bincount(flat)
+    least, top = 0.9 * entropy(counts), flat[width:] - flat[:-width]
+    if np.count_nonzero(counts) <= 16 or entropy(np.bincount(flat[1:] - flat[:-1])) < least or (len(top) and entropy(np.bincount(top)) < least):
         pixels = np.full((height, width, 4), 255, dtype=np.uint8)
         pixels[:, :, :3] = grey[:, :, None]
         out = min(out, encode_small(pixels), key=len)
