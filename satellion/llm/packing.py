@@ -24,7 +24,7 @@ from satellion.functions.shipping import ship
 from satellion.llm.common import store
 
 #: Pieces a cell, about.
-CELL = 1 << 20
+CELL = 1 << 16
 
 
 def byte_symbols() -> dict[str, int]:
@@ -186,8 +186,9 @@ def assign(pieces: DataFrame, capacity: int, cell: int = CELL) -> DataFrame:
     """Places pieces(..., length, row). What goes to the driver and back is a number a length, and one more for every `cell` pieces."""
     spark = pieces.sparkSession
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
-    salts = spark.createDataFrame([(n, -(-c // cell)) for n, c in counts.items()], "length long, salts int")
-    salted = pieces.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("row"), F.col("salts")).cast("int")).drop("salts")  # a row a length
+    # a number a length, as a constant array: no join
+    salts = F.array(*[F.lit(-(-counts.get(n, 1) // cell)) for n in range(1, capacity + 1)])
+    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("row"), F.element_at(salts, F.col("length").cast("int"))).cast("int"))
     cells = salted.groupBy("length", "salt").count().orderBy("length", "salt").toPandas()
     start = cells["count"].to_numpy()
     start = np.cumsum(start) - start
