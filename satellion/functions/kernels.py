@@ -50,6 +50,58 @@ def lcs_length(a: str, b: str) -> int:
     return row.bit_count()
 
 
+def _symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points as a matrix, 0 beyond a text's end, and lengths."""
+    size = np.array([len(t) for t in texts], dtype=np.int64)
+    out = np.zeros((len(texts), int(size.max(initial=0))), dtype=np.uint32)
+    out[np.arange(out.shape[1]) < size[:, None]] = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    return out, size
+
+
+def anchored_distances(n: list[str], m: list[str], most: int | None = None) -> np.ndarray:
+    """Smallest edit distance of each m (64 symbols at most) and a prefix of its n: one bit-parallel pass over n gives all prefixes, for all pairs at once."""
+    (text, n_size), (word, size) = _symbols(n), _symbols(m)
+    if word.shape[1] > 64:
+        raise ValueError("more than 64 symbols")
+    top = n_size if most is None else np.minimum(n_size, size + most)
+    known = np.unique(word)
+    row = np.arange(len(n))
+    at = np.zeros((len(known) + 1, len(n)), dtype=np.uint64)
+    for k in range(word.shape[1]):
+        here = row[k < size]
+        at[np.searchsorted(known, word[here, k]), here] |= np.uint64(1 << k)
+    place = np.minimum(np.searchsorted(known, text), max(0, len(known) - 1))
+    code = np.where(known[place] == text, place, len(known)) if len(known) else np.zeros(text.shape, dtype=np.int64)
+    high = np.where(size > 0, np.uint64(1) << np.maximum(size - 1, 0).astype(np.uint64), np.uint64(0))
+    one = np.uint64(1)
+    plus, minus = np.full(len(n), ~np.uint64(0)), np.zeros(len(n), dtype=np.uint64)
+    score, best = size.copy(), size.copy()
+    for k in range(int(top.max(initial=0))):
+        equal = at[code[:, k], row]
+        x = equal | minus
+        y = (((equal & plus) + plus) ^ plus) | equal
+        up, down = minus | ~(y | plus), plus & y
+        score += ((up & high) != 0).astype(np.int64) - ((down & high) != 0)
+        best = np.where(k < top, np.minimum(best, score), best)
+        up, down = up << one | one, down << one
+        plus, minus = down | ~(x | up), up & x
+    return best
+
+
+def anchored(n: str, m: str, most: int | None = None):
+    """anchored_distances of two columns; null where one is null. Rows whose m is longer than 64 symbols are an error: flanks are cut before."""
+
+    @F.pandas_udf("int")
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        ok = (a.notna() & b.notna()).to_numpy()
+        out = pd.Series(pd.NA, index=a.index, dtype="Int32")
+        if ok.any():
+            out[ok] = anchored_distances(a[ok].tolist(), b[ok].tolist(), most).astype(np.int32)
+        return out
+
+    return run(n, m)
+
+
 def consensus(profile: np.ndarray) -> str:
     """Most frequent symbol of each column (first of equals), without dash columns."""
     return "".join(SYMBOLS[k] for k in compositions()[profile].argmax(1) if k != 4)

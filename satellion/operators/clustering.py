@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from satellion.functions import kernels
-from satellion.functions.scalars import anchored_distance, error_limit, reverse_complement
+from satellion.functions.scalars import error_limit, reverse_complement
 from satellion.functions.shipping import ship
-from satellion.functions.storing import store
+from satellion.functions.storing import discard, store
 
 #: Least pattern lengths of the size ranges and their seed masks (* skips a symbol).
 RANGES = (6, 10, 17, 25, 30, 39, 59, 89, 134, 201, 303, 474, 715, 1111)
@@ -85,13 +85,14 @@ def consensus_filter(cands: DataFrame, a: str, b: str) -> DataFrame:
 def flank_align(pairs: DataFrame, max_flank: int = 60) -> DataFrame:
     """pairs(..., ref_left, ref_right, left, right) with lerr, rerr, left_len, right_len and is_rc of the better accepted orientation (forward on ties); others are left out.
 
-    Left flanks are compared from the array outwards. Reversing the pair swaps and complements the read's flanks.
+    Left flanks are compared from the array outwards. Reversing the pair swaps and complements the read's flanks. max_flank is 64 or less.
     """
+    ship(pairs.sparkSession)
     turn = lambda c: F.reverse(F.col(c))
     comp = lambda c: F.translate(c, "ACGT", "TGCA")
     df = pairs.withColumns({"_rl": F.substring(turn("ref_left"), 1, max_flank + 10), "_rr": F.substring("ref_right", 1, max_flank + 10), "_l": F.substring(turn("left"), 1, max_flank), "_r": F.substring("right", 1, max_flank)})
     df = df.withColumns({"_cl": comp("_r"), "_cr": comp("_l")})
-    df = df.withColumns({"_f1": anchored_distance("_rl", "_l", 8), "_f2": anchored_distance("_rr", "_r", 8), "_b1": anchored_distance("_rl", "_cl", 8), "_b2": anchored_distance("_rr", "_cr", 8)})
+    df = df.withColumns({"_f1": kernels.anchored("_rl", "_l", 8), "_f2": kernels.anchored("_rr", "_r", 8), "_b1": kernels.anchored("_rl", "_cl", 8), "_b2": kernels.anchored("_rr", "_cr", 8)})
     ok = lambda e1, c1, e2, c2: (F.col(e1) <= error_limit(F.length(c1))) & (F.col(e2) <= error_limit(F.length(c2)))
     fwd, bwd = ok("_f1", "_l", "_f2", "_r"), ok("_b1", "_cl", "_b2", "_cr")
     rc = bwd & (~fwd | (F.col("_b1") + F.col("_b2") < F.col("_f1") + F.col("_f2")))
@@ -105,21 +106,24 @@ def parity_components(edges: DataFrame) -> DataFrame:
     """edges(a, b, dir) -> (node, cid, dir): components by smallest id, with each node's direction relative to it.
 
     Labels are (id, direction) pairs: a neighbour's label arrives with the edge's direction added. The smallest pair wins, so an
-    even path wins over an odd one where directions contradict. Every round is written to the shared folder.
+    even path wins over an odd one where directions contradict. Every round is written to the shared folder, and the one before deleted.
     """
     both = edges.select("a", "b", F.col("dir").cast("int").alias("dir")).union(edges.select("b", "a", F.col("dir").cast("int"))).where("a is not null and b is not null and dir is not null").distinct()
     both = store(both)
     lab = F.struct(F.col("node").alias("cid"), F.lit(0).alias("dir"))
     labels = store(both.select(F.col("a").alias("node")).distinct().select("node", lab.alias("lab")))
     while True:
-        near = both.join(labels, both.b == labels.node).groupBy(F.col("a").alias("node")).agg(F.min(F.struct(F.col("lab.cid").alias("cid"), F.col("lab.dir").bitwiseXOR(F.col("dir")).alias("dir"))).alias("near"))
-        moved = labels.join(near, "node").select("node", F.col("lab").alias("was"), F.least("lab", "near").alias("lab"))
+        own = labels.select(F.col("node").alias("near_node"), "lab")
+        near = both.join(own, both.b == own.near_node).groupBy(F.col("a").alias("node")).agg(F.min(F.struct(F.col("lab.cid").alias("cid"), F.col("lab.dir").bitwiseXOR(F.col("dir")).alias("dir"))).alias("near"))
+        moved = labels.select("node", "lab").join(near, "node").select("node", F.col("lab").alias("was"), F.least("lab", "near").alias("lab"))
         jump = moved.select(F.col("node").alias("far"), F.col("lab").alias("to"))
         nxt = moved.join(jump, F.col("lab.cid") == F.col("far")).select("node", "was", F.least("lab", F.struct(F.col("to.cid").alias("cid"), F.col("lab.dir").bitwiseXOR(F.col("to.dir")).alias("dir"))).alias("lab"))
         nxt = store(nxt)
+        discard(labels)
         if nxt.where("was <> lab").isEmpty():
+            discard(both)
             return nxt.select("node", F.col("lab.cid").alias("cid"), F.col("lab.dir").alias("dir"))
-        labels = nxt.select("node", "lab")
+        labels = nxt
 
 
 def clusters_with_refs(members: DataFrame) -> DataFrame:

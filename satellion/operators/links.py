@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from satellion.functions import kernels
-from satellion.functions.scalars import anchored_distance, error_limit
+from satellion.functions.scalars import error_limit
 from satellion.functions.shipping import ship
 from satellion.functions.storing import store
 from satellion.operators.clustering import consensus_filter, parity_components, seed_candidates
@@ -50,8 +50,9 @@ def fan_out(links: DataFrame, ref_groups: DataFrame, read_groups: DataFrame) ->
 def flank_errors(pairs: DataFrame, max_flank: int = 60) -> DataFrame:
     """pairs(..., is_rc, ref_left_flank, ref_right_flank, read_left_flank, read_right_flank) with lerr and rerr.
 
-    Flanks are read from the array outwards. Where is_rc, the read's flanks change sides and are complemented. A read flank is cut to the reference's length.
+    Flanks are read from the array outwards. Where is_rc, the read's flanks change sides and are complemented. A read flank is cut to the reference's length, and max_flank is 64 or less.
     """
+    ship(pairs.sparkSession)
     out = lambda c: F.reverse(F.coalesce(F.col(c), F.lit("")))
     same = lambda c: F.coalesce(F.col(c), F.lit(""))
     comp = lambda c: F.translate(c, "ACGTacgt", "TGCAtgca")
@@ -59,7 +60,7 @@ def flank_errors(pairs: DataFrame, max_flank: int = 60) -> DataFrame:
     own, far = F.substring(out("read_left_flank"), 1, max_flank), F.substring(same("read_right_flank"), 1, max_flank)
     df = pairs.withColumns(ref | {"_l": F.when(F.col("is_rc"), comp(far)).otherwise(own), "_r": F.when(F.col("is_rc"), comp(own)).otherwise(far)})
     df = df.withColumns({"_ll": F.length("_l"), "_rlen": F.length("_r"), "_l": F.substring(F.col("_l"), F.lit(1), F.length("_rl")), "_r": F.substring(F.col("_r"), F.lit(1), F.length("_rr"))})
-    df = df.withColumns({"lerr": anchored_distance("_rl", "_l", 8), "rerr": anchored_distance("_rr", "_r", 8), "left_len": F.col("_ll"), "right_len": F.col("_rlen")})
+    df = df.withColumns({"lerr": kernels.anchored("_rl", "_l", 8), "rerr": kernels.anchored("_rr", "_r", 8), "left_len": F.col("_ll"), "right_len": F.col("_rlen")})
     return df.drop("_rl", "_rr", "_l", "_r", "_ll", "_rlen")
 
 

@@ -68,3 +68,30 @@ def test_wraparound(array, pattern):
     assert [a for a, _ in path if a >= 0] == list(range(len(array)))
     paid = sum(-7 if a < 0 or p < 0 else 2 if array[a] == pattern[p] and array[a] in "ACGT" else -5 for a, p in path)
     assert paid == score
+
+
+def test_anchored_distances(spark):
+    """The bit-parallel pass equals the smallest distance over all prefixes, cell by cell, also for words of 64 symbols, empty ones and nulls."""
+    import random
+
+    from satellion.functions import scalars
+
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("ACGTN") for _ in range(n))
+    pairs = [(word(rng.randint(0, 75)), word(rng.choice([0, 1, 5, 30, 60, 63, 64]))) for _ in range(150)]
+    pairs += [(m + "ACG", m[:10] + m[12:]) for _, m in pairs[:40]] + [("", ""), ("é😀x", "é😀"), ("ACG", "")]
+    for most in (None, 8):
+        want = []
+        for n, m in pairs:
+            row = list(range(len(m) + 1))
+            best = row[-1]
+            for k, c in enumerate(n[: len(m) + most if most is not None else len(n)], 1):
+                new = [k]
+                for i, x in enumerate(m, 1):
+                    new.append(min(row[i] + 1, new[-1] + 1, row[i - 1] + (x != c)))
+                row, best = new, min(best, new[-1])
+            want.append(best)
+        assert kernels.anchored_distances([n for n, _ in pairs], [m for _, m in pairs], most).tolist() == want
+    df = spark.createDataFrame([*pairs, (None, "A"), ("A", None)], "n string, m string")
+    both = df.select(kernels.anchored("n", "m", 8).alias("a"), scalars.anchored_distance("n", "m", 8).alias("b")).collect()
+    assert all(r.a == r.b for r in both) and both[-1].a is None

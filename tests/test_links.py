@@ -72,7 +72,9 @@ def test_components_of_the_whole_table(spark):
     for r in spark.read.parquet(f"{DATA}/lineitem.parquet").select("l_orderkey", "l_partkey").collect():
         a, b = find(r[0]), find(-r[1] - 1)
         top[max(a, b)] = min(a, b)
-    assert {(r.node, r.cid) for r in registry.queries()["g01_components"](spark, DATA).collect()} == {(x, find(x)) for x in top}
+    got = registry.queries()["g01_components"](spark, DATA).collect()
+    assert {(r.node, r.cid) for r in got} == {(x, find(x)) for x in top}
+    assert all(r.dir == ((r.node % 3 == 0) != (r.cid % 3 == 0)) for r in got) and {r.dir for r in got} == {0, 1}
 
 
 def test_indistinguishable(spark):
