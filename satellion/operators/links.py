@@ -134,6 +134,20 @@ def indistinguishable(filtered: DataFrame, full: DataFrame, full_groups: DataFra
     return rows.join(filtered.select("rid"), "rid", "left_semi")
 
 
+def reference_pairs(refs: DataFrame, slack: float = 0.10) -> DataFrame:
+    """refs(ref_id, cid, pattern, left_flank, right_flank) -> (a, b, ll, rr, lr, rl): pairs a < b of a cluster whose patterns' sizes are within slack of a's, with four
+    distances: left to left and right to right flank, then each to the complement of the other side's, as the pair turned would show.
+
+    Sizes are part of the key by bands of eight, so a task holds one band of a cluster.
+    """
+    n, comp = F.length("pattern"), lambda c: F.reverse(F.translate(c, "ACGT", "TGCA"))
+    low, high = F.floor((n - F.floor(n * slack)) / 8), F.floor((n + F.floor(n * slack)) / 8)
+    left = refs.select("cid", F.col("ref_id").alias("a"), n.alias("na"), F.col("left_flank").alias("al"), F.col("right_flank").alias("ar"), F.explode(F.sequence(low, high)).alias("band"))
+    right = refs.select("cid", F.col("ref_id").alias("b"), n.alias("nb"), F.col("left_flank").alias("bl"), F.col("right_flank").alias("br"), F.floor(n / 8).alias("band"))
+    near = left.join(right, ["cid", "band"]).where((F.col("a") < F.col("b")) & (F.abs(F.col("na") - F.col("nb")) <= F.col("na") * slack))
+    return near.select("a", "b", *[F.levenshtein(x, y).cast("long").alias(k) for k, x, y in (("ll", "al", "bl"), ("rr", "ar", "br"), ("lr", "al", comp("br")), ("rl", "ar", comp("bl")))])
+
+
 def flank_classes(pairs: DataFrame) -> DataFrame:
     """pairs(a, b, lerr, rerr, left_len, right_len) between references of a cluster -> (ref_id, n_left, n_right, n_both, distinguishable): whose flanks are alike on which side."""
     hit = lambda e, n: F.col(e) <= error_limit(F.col(n))

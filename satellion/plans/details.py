@@ -6,6 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from satellion.functions import scalars
+from satellion.operators import links
 from satellion.plans.adapters import read_trs, refs, sql, table
 from satellion.plans.registry import query
 from satellion.sources import sinks
@@ -135,3 +136,12 @@ def s16(s, d):
     """Patterns of one size of a cluster stand for a group."""
     own = refs(s, d).select(F.col("ref_id").alias("rid"), F.min("ref_id").over(W.partitionBy("chrom", F.length("pattern"))).alias("head"))
     return sinks.redundancy_lines(own)
+
+
+@query("j25_reference_pairs", sql("""SELECT a.ref_id AS a, b.ref_id AS b, levenshtein(left(a.pattern, 12), left(b.pattern, 12)) AS ll, levenshtein(right(a.pattern, 12), right(b.pattern, 12)) AS rr,
+  levenshtein(left(a.pattern, 12), reverse(translate(right(b.pattern, 12), 'ACGT', 'TGCA'))) AS lr, levenshtein(right(a.pattern, 12), reverse(translate(left(b.pattern, 12), 'ACGT', 'TGCA'))) AS rl
+  FROM refs a JOIN refs b ON a.chrom = b.chrom AND a.ref_id < b.ref_id AND 10 * abs(length(a.pattern) - length(b.pattern)) <= length(a.pattern)"""))
+def j25(s, d):
+    """Brands stand for clusters, the ends of a pattern for its flanks."""
+    own = refs(s, d).select("ref_id", F.col("chrom").alias("cid"), "pattern", F.substring("pattern", 1, 12).alias("left_flank"), scalars.right("pattern", 12).alias("right_flank"))
+    return links.reference_pairs(own, 0.1)
