@@ -141,6 +141,59 @@ def profile_similarity(a: np.ndarray, b: np.ndarray) -> float:
     return 1 - lost / (255 * weight) if weight else 0.0
 
 
+def profile_similarities(a: list[np.ndarray], b: list[np.ndarray], cells: int = 1 << 18) -> np.ndarray:
+    """profile_similarity of many pairs, a row of all their alignments at a time. Pairs of like size go together, as many as keep a row within `cells`."""
+    n, m = (np.array([len(x) for x in side], dtype=np.int64) for side in (a, b))
+    out = np.zeros(len(a))
+    order = np.lexsort((m, n))
+    k = 0
+    while k < len(order):
+        some = order[k : k + max(1, cells // (1 + int(m.max(initial=0))))]
+        out[some] = _similarity_rows([a[x] for x in some], [b[x] for x in some], n[some], m[some])
+        k += len(some)
+    return out
+
+
+def _padded(rows: list[np.ndarray], size: np.ndarray) -> np.ndarray:
+    out = np.full((len(rows), int(size.max(initial=0))), GAP, dtype=np.int64)
+    if out.size:
+        out[np.arange(out.shape[1]) < size[:, None]] = np.concatenate(rows)
+    return out
+
+
+def _similarity_rows(a: list[np.ndarray], b: list[np.ndarray], n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Each cell carries the weighted distance and the weight of its own best path, so nothing is traced back."""
+    d, solid = distances(), (10 - compositions()[:, 4]).astype(np.int64)
+    x, y = _padded(a, n), _padded(b, m)
+    zero = np.zeros((len(a), 1), dtype=np.int64)
+    sums = lambda v: np.concatenate((zero, np.cumsum(v, axis=1)), axis=1)
+    across = d[GAP, y].astype(np.int64)
+    paid, paid_lost, paid_weight = sums(across), sums(solid[y] * across), sums(solid[y])
+    cost, lost, weight = paid, paid_lost, paid_weight
+    place = np.arange(y.shape[1] + 1)
+    own = np.arange(len(a))
+    out_lost, out_weight = lost[own, m], weight[own, m]
+    for i in range(x.shape[1]):
+        of_a = x[:, i : i + 1]
+        step, down = d[of_a, y].astype(np.int64), d[of_a, GAP].astype(np.int64)
+        both = np.minimum(10, solid[of_a] + solid[y])
+        diagonal, vertical = cost[:, :-1] + step, cost + down
+        # horizontal moves: a running minimum of cost less what has been paid along the row
+        best = np.concatenate((vertical[:, :1], np.minimum(diagonal, vertical[:, 1:])), axis=1)
+        cost = np.minimum.accumulate(best - paid, axis=1) + paid
+        slant = np.concatenate((zero > 0, cost[:, 1:] == diagonal), axis=1)
+        pad = lambda v: np.concatenate((zero, v), axis=1)
+        lost = np.where(slant, pad(lost[:, :-1] + both * step), lost + solid[of_a] * down)
+        weight = np.where(slant, pad(weight[:, :-1] + both), weight + solid[of_a])
+        # a horizontal run goes on from the last cell that another move reached
+        last = np.maximum.accumulate(np.where(slant | (cost == vertical), place, 0), axis=1)
+        lost = np.take_along_axis(lost - paid_lost, last, axis=1) + paid_lost
+        weight = np.take_along_axis(weight - paid_weight, last, axis=1) + paid_weight
+        here = np.flatnonzero(n == i + 1)
+        out_lost[here], out_weight[here] = lost[here, m[here]], weight[here, m[here]]
+    return np.where(out_weight > 0, 1 - out_lost / np.maximum(255 * out_weight, 1), 0.0)
+
+
 def wraparound(array: str, pattern: str, match: int = 2, mismatch: int = -5, gap: int = -7) -> tuple[int, list[tuple[int, int]]]:
     """Score of array against endless copies of pattern, and the pairs (array place or -1, pattern place or -1) of the alignment. N matches nothing."""
     n, m = len(array), len(pattern)
@@ -249,7 +302,11 @@ def lcs(a: pd.Series, b: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else profile_similarity(np.asarray(x, dtype=np.int64), np.asarray(y, dtype=np.int64)) for x, y in zip(a, b)])
+    ok = (a.notna() & b.notna()).to_numpy()
+    out = pd.Series(pd.NA, index=a.index, dtype="Float64")
+    if ok.any():
+        out[ok] = profile_similarities(*[[np.asarray(x, dtype=np.int64) for x in side[ok]] for side in (a, b)])
+    return out
 
 
 @F.pandas_udf(T.StringType())

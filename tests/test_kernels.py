@@ -95,3 +95,17 @@ def test_anchored_distances(spark):
     df = spark.createDataFrame([*pairs, (None, "A"), ("A", None)], "n string, m string")
     both = df.select(kernels.anchored("n", "m", 8).alias("a"), scalars.anchored_distance("n", "m", 8).alias("b")).collect()
     assert all(r.a == r.b for r in both) and both[-1].a is None
+
+
+def test_similarities_of_many_pairs(spark):
+    """All pairs at once equal one pair at a time, ties included; in small portions too; null where a side is null."""
+    rng = np.random.default_rng(5)
+    pick = np.append(rng.integers(0, 1001, 12), [0, 0, 285])  # few compositions make many ties
+    one = lambda: rng.choice(pick, rng.integers(0, 14))
+    a, b = [one() for _ in range(300)], [one() for _ in range(300)]
+    a[:40] = [x.copy() for x in b[:40]]
+    want = [kernels.profile_similarity(x, y) for x, y in zip(a, b)]
+    for cells in (1 << 18, 60):
+        assert np.allclose(kernels.profile_similarities(a, b, cells), want, atol=1e-12)
+    df = spark.createDataFrame([([285, 65], [285, 65]), (None, [1]), ([1], None), ([0], [0])], "a array<short>, b array<short>")
+    assert [r.s for r in df.select(kernels.similarity("a", "b").alias("s")).collect()] == [1.0, None, None, 0.0]
