@@ -104,6 +104,21 @@ def test_edge_scores_and_cluster_tables(spark):
     assert {tuple(r) for r in stats.collect()} == {(1, 10, 11, 2, 1, 10), (2, 9, 9, 1, 1, 0)} and links.largest_clusters(stats).first().largest_repeatcount == 2
 
 
+def test_equal_repeats_are_aligned_once(spark, monkeypatch):
+    """Kernels that give another value at each call: equal repeats have one value, as they are one call."""
+
+    def profile_of(array, pattern):
+        return F.struct(pattern.alias("pattern"), F.array(F.lit(1).cast("short")).alias("profile"), F.rand().alias("copynum"), F.rand().alias("conserved"))
+
+    monkeypatch.setattr(kernels, "profile_of", profile_of)
+    monkeypatch.setattr(kernels, "similarity", lambda a, b: F.rand() / 2)
+    df = spark.createDataFrame([(i, f"{A}{A}" if i % 3 else None, (A, B, None)[i % 3]) for i in range(60)], "rid long, sequence string, pattern string")
+    rows = profiles.build_profiles(df).collect()
+    assert sorted(r.rid for r in rows) == list(range(60)) and len({r.copynum for r in rows}) == 3
+    pairs = spark.createDataFrame([(i, [i % 2], [1], [2] if i % 4 else None, [3]) for i in range(40)], "x long, ref_profile array<short>, ref_profile_rc array<short>, read_profile array<short>, read_profile_rc array<short>")
+    assert len({r.score for r in profiles.edge_scores(pairs).collect()}) == 3 and profiles.edge_scores(pairs).count() == 40
+
+
 def test_reports_of_empty_tables(spark):
     sup = spark.createDataFrame([], "ref_id long, copies int, same_as_ref int, support long, copies_float double, representative long")
     refs = spark.createDataFrame([(1, True)], "ref_id long, is_singleton boolean")
