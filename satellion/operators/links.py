@@ -121,7 +121,7 @@ def indistinguishable(filtered: DataFrame, full: DataFrame, full_groups: DataFra
     member = full_groups.select("group_id", "rid", "is_rc").join(full.select("rid", *[F.coalesce(c, F.lit("")).alias(c) for c in FLANK_COLUMNS]), "rid")
     classes = store(member.groupBy(*kinds).agg(F.min("rid").alias("cls"), (F.min("rid") < F.max("rid")).alias("several")))
     groups = classes.select("group_id", F.col("cls").alias("rid"), "is_rc", (F.col("cls") == F.col("group_id")).alias("is_head"))
-    heads = full.join(full_groups.where("is_head").select("rid"), "rid", "left_semi")
+    heads = store(full.join(full_groups.where("is_head").select("rid"), "rid", "left_semi").select("rid", "pattern", *PROFILE_COLUMNS))
     a, b = heads.withColumnRenamed("rid", "ref_id"), heads.withColumnRenamed("rid", "read_id")
     pairs = fan_out(similar_pairs(seed_candidates(a, b), a, b, cutoff), groups, groups).join(classes.select(F.col("cls").alias("ref_id"), "several"), "ref_id").where("ref_id <> read_id or several")
     own = lambda name: classes.withColumnRenamed("cls", name)

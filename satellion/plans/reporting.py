@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from satellion.functions import scalars
+from satellion.functions.storing import store
 from satellion.operators import alleles, clustering, links, profiles, reports
 from satellion.plans.adapters import read_trs, refs, sql, table
 from satellion.plans.registry import query
@@ -224,8 +225,8 @@ def d23(s, d):
 def d20(s, d):
     """References whose profile and flanks pass as another one's; the pattern's neighbours stand for flanks."""
     r = refs(s, d).where("length(pattern) >= 6").select(F.col("ref_id").alias("rid"), F.concat("pattern", "pattern").alias("sequence"), "pattern", F.col("pattern").alias("left_flank"), F.col("pattern").alias("right_flank"))
-    p = profiles.build_profiles(r)
-    return links.indistinguishable(p, p, clustering.redundancy_groups(p))
+    p = store(profiles.build_profiles(r))
+    return links.indistinguishable(p, p, store(clustering.redundancy_groups(p)))
 
 
 @query("d22_a23_edge_scores")
