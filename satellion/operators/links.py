@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from satellion.functions import kernels
@@ -134,18 +134,42 @@ def indistinguishable(filtered: DataFrame, full: DataFrame, full_groups: DataFra
     return rows.join(filtered.select("rid"), "rid", "left_semi")
 
 
+def id_blocks(rows: DataFrame, keys: list[str], block: int = 256) -> DataFrame:
+    """rows(id, *keys) -> (*keys, ids, lo, hi): ids of rows with equal keys, sorted, in arrays of `block` at most. Null ids are left out."""
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("id"))
+    numbered = rows.where("id is not null").withColumn("_block", ((nth - 1) / block).cast("long"))
+    return numbered.groupBy(*keys, "_block").agg(F.sort_array(F.collect_list("id")).alias("ids"), F.min("id").alias("lo"), F.max("id").alias("hi")).drop("_block")
+
+
+def size_pairs(rows: DataFrame, reach: Column, near: Column, made: dict[str, Column] | None = None, block: int = 256) -> DataFrame:
+    """rows(id, cid, n, ...) -> (a, b, *made): pairs a < b of a cluster that are `near`, whose sizes are within `reach` (a column of n) of a's.
+
+    Rows equal in all but id are one class: conditions and made columns, over a_n, b_n, a_... and b_..., are computed for pairs of blocks of classes and only then
+    repeated for their members. Sizes are part of the key by bands of eight; pairs of blocks, each of like cost, are dealt evenly.
+    """
+    spark = rows.sparkSession
+    keys = [c for c in rows.columns if c != "id"]
+    rest = [c for c in keys if c != "cid"]
+    blocks = id_blocks(rows, keys, block)
+    of = lambda side: [F.col(c).alias(f"{side}_{c}") for c in [*rest, "ids", "lo", "hi"]]
+    band = lambda n: F.floor(n / 8)
+    left = blocks.select("cid", *of("a"), F.explode(F.sequence(band(F.col("n") - reach), band(F.col("n") + reach))).alias("band"))
+    right = blocks.select("cid", *of("b"), band(F.col("n")).alias("band"))
+    pairs = left.join(right, ["cid", "band"]).where(near & (F.col("a_lo") < F.col("b_hi")))
+    dealt = pairs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "cid", "a_lo", "b_lo")
+    known = dealt.select("a_ids", "b_ids", *[c.alias(name) for name, c in (made or {}).items()])
+    each = known.withColumn("a", F.explode("a_ids")).drop("a_ids").withColumn("b", F.explode("b_ids"))
+    return each.where("a < b").select("a", "b", *(made or {}))
+
+
 def reference_pairs(refs: DataFrame, slack: float = 0.10) -> DataFrame:
     """refs(ref_id, cid, pattern, left_flank, right_flank) -> (a, b, ll, rr, lr, rl): pairs a < b of a cluster whose patterns' sizes are within slack of a's, with four
     distances: left to left and right to right flank, then each to the complement of the other side's, as the pair turned would show.
-
-    Sizes are part of the key by bands of eight, so a task holds one band of a cluster.
     """
-    n, comp = F.length("pattern"), lambda c: F.reverse(F.translate(c, "ACGT", "TGCA"))
-    low, high = F.floor((n - F.floor(n * slack)) / 8), F.floor((n + F.floor(n * slack)) / 8)
-    left = refs.select("cid", F.col("ref_id").alias("a"), n.alias("na"), F.col("left_flank").alias("al"), F.col("right_flank").alias("ar"), F.explode(F.sequence(low, high)).alias("band"))
-    right = refs.select("cid", F.col("ref_id").alias("b"), n.alias("nb"), F.col("left_flank").alias("bl"), F.col("right_flank").alias("br"), F.floor(n / 8).alias("band"))
-    near = left.join(right, ["cid", "band"]).where((F.col("a") < F.col("b")) & (F.abs(F.col("na") - F.col("nb")) <= F.col("na") * slack))
-    return near.select("a", "b", *[F.levenshtein(x, y).cast("long").alias(k) for k, x, y in (("ll", "al", "bl"), ("rr", "ar", "br"), ("lr", "al", comp("br")), ("rl", "ar", comp("bl")))])
+    comp = lambda c: F.reverse(F.translate(c, "ACGT", "TGCA"))
+    rows = refs.select(F.col("ref_id").alias("id"), "cid", F.length("pattern").alias("n"), F.col("left_flank").alias("l"), F.col("right_flank").alias("r"))
+    sides = {"ll": ("a_l", "b_l"), "rr": ("a_r", "b_r"), "lr": ("a_l", comp("b_r")), "rl": ("a_r", comp("b_l"))}
+    return size_pairs(rows, F.floor(F.col("n") * slack), F.abs(F.col("a_n") - F.col("b_n")) <= F.col("a_n") * slack, {k: F.levenshtein(x, y).cast("long") for k, (x, y) in sides.items()})
 
 
 def flank_classes(pairs: DataFrame) -> DataFrame:

@@ -128,3 +128,34 @@ def test_reports_of_empty_tables(spark):
     table = reports.size_table(refs.withColumn("x", F.lit(1)), F.lit(30), ["x"], 20)
     assert {(r["size"], r.n_all, r.pct_x) for r in table.collect()} == {("20+", 1, 100), ("TOTAL", 1, 100)}
     assert [r.value for r in reports.report_lines([("Sizes", table)]).collect()] == ["Sizes", "size, n_all, n_x, pct_x", "20+, 1, 1, 100", "TOTAL, 1, 1, 100"]
+
+
+def parts(spark, path, rows):
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_size int").write.parquet(f"{path}/part.parquet")
+    return str(path)
+
+
+def by_sql(path, name):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW part AS SELECT * FROM '{path}/part.parquet/*.parquet'")
+    con.execute("CREATE TABLE lineitem (l_orderkey BIGINT, l_linenumber INT, l_partkey BIGINT, l_suppkey BIGINT, l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_shipdate DATE)")
+    return sorted(con.execute(registry.oracle_sql()[name]).fetchall())
+
+
+def odd_parts():
+    """Copies in several blocks, sizes from 0 to 90, an id twice, nulls."""
+    names = ["", "12", "red ring", "old bolt", "large plate", "larger plate", "x" * 30, "gac" * 11, "x" * 33, "y" * 90, "z" * 82, None]
+    rows = [(7 * i % 601, names[i % len(names)], f"b{i % 2}", 1) for i in range(300)]
+    return rows + [(7, "red ring", "b0", 1), (None, "red ring", "b0", 1), (8, "red ring", None, 1)]
+
+
+def test_distances_of_reference_pairs_once_a_class(spark, tmp_path, monkeypatch):
+    d = parts(spark, tmp_path / "odd", odd_parts())
+    got = sorted(map(tuple, registry.queries()["j25_reference_pairs"](spark, d).collect()))
+    assert got == by_sql(d, "j25_reference_pairs") and len(got) > 1000
+    d = parts(spark, tmp_path / "copies", [(i, ("red ring", "old bolt")[i % 2], "b", 1) for i in range(600)])
+    monkeypatch.setattr(F, "levenshtein", lambda x, y: (F.rand() * 1e9).cast("int"))
+    rows = registry.queries()["j25_reference_pairs"](spark, d).collect()
+    assert len(rows) == 600 * 599 // 2 and len({r.ll for r in rows}) < 100
