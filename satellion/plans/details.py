@@ -50,11 +50,9 @@ def j15(s, d):
 
 @query("j24_w10_size_band", sql("SELECT a.ref_id AS a, b.ref_id AS b FROM refs a JOIN refs b ON a.chrom=b.chrom AND a.ref_id<b.ref_id AND 10*abs(length(a.pattern)-length(b.pattern)) <= length(a.pattern)"))
 def j24(s, d):
-    """All pairs of a cluster whose pattern sizes are near; sizes are part of the key by bands, so a task holds one band."""
-    r = refs(s, d).select("ref_id", "chrom", F.length("pattern").alias("n"), F.floor(F.length("pattern") / 8).alias("band"))
-    a = r.select(F.col("ref_id").alias("a"), "chrom", F.col("n").alias("na"), F.explode(F.sequence(F.floor((F.col("n") - F.floor(F.col("n") / 10)) / 8), F.floor((F.col("n") + F.floor(F.col("n") / 10)) / 8))).alias("band"))
-    b = r.select(F.col("ref_id").alias("b"), "chrom", F.col("n").alias("nb"), "band")
-    return a.join(b, ["chrom", "band"]).where("a < b and 10 * abs(na - nb) <= na").select("a", "b")
+    """All pairs of a cluster whose pattern sizes are near; sizes are paired first, their references after."""
+    r = refs(s, d).select(F.col("ref_id").alias("id"), F.col("chrom").alias("cid"), F.length("pattern").alias("n"))
+    return links.size_pairs(r, F.floor(F.col("n") / 10), F.expr("10 * abs(a_n - b_n) <= a_n"))
 
 
 @query("a15_lost_to_ties", sql("SELECT ref_id, count(*) AS n FROM reads GROUP BY 1 HAVING max(CAST(flank_score >= 0.99 AS INTEGER)) = 0"))

@@ -159,3 +159,24 @@ def test_distances_of_reference_pairs_once_a_class(spark, tmp_path, monkeypatch)
     monkeypatch.setattr(F, "levenshtein", lambda x, y: (F.rand() * 1e9).cast("int"))
     rows = registry.queries()["j25_reference_pairs"](spark, d).collect()
     assert len(rows) == 600 * 599 // 2 and len({r.ll for r in rows}) < 100
+
+
+def joined_rows(df):
+    """Rows that the joins of a collected frame gave."""
+
+    def walk(p):
+        name = p.getClass().getSimpleName()
+        inner = [p.executedPlan()] if name == "AdaptiveSparkPlanExec" else [p.plan()] if name.endswith("QueryStageExec") else [p.children().apply(k) for k in range(p.children().size())]
+        own = p.metrics().apply("numOutputRows").value() if "Join" in name else 0
+        return own + sum(map(walk, inner))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_size_band_pairs_sizes_first(spark, tmp_path):
+    d = parts(spark, tmp_path / "copies", [(i, "red ring", "b", 1) for i in range(600)])
+    df = registry.queries()["j24_w10_size_band"](spark, d)
+    assert len(set(map(tuple, df.collect()))) == 600 * 599 // 2 and joined_rows(df) < 100
+    d = parts(spark, tmp_path / "odd", odd_parts())
+    got = sorted(map(tuple, registry.queries()["j24_w10_size_band"](spark, d).collect()))
+    assert got == by_sql(d, "j24_w10_size_band") and len(got) > 1000
