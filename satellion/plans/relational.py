@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from satellion.functions.scalars import entropy, percent
-from satellion.operators import alleles, clustering, ranking
+from satellion.operators import alleles, clustering, links, ranking
 from satellion.operators.ids import dense_ids
 from satellion.plans.adapters import read_trs, refs, sql, table
 from satellion.plans.registry import query
@@ -214,12 +214,11 @@ def f08(s, d):
 
 @query("f09_f10_size_ratio", sql("SELECT a.ref_id AS a, b.ref_id AS b FROM refs a JOIN refs b ON a.chrom = b.chrom AND a.ref_id < b.ref_id AND abs(length(a.pattern)-length(b.pattern)) <= CAST(trunc(length(a.pattern)*0.1+1.0) AS INTEGER) AND (greatest(length(a.pattern),length(b.pattern))/least(length(a.pattern),length(b.pattern))-1)*100 <= 15"))
 def f09(s, d):
-    """Sizes in the slack of each pattern are few, so the band becomes an equality on size."""
-    p = refs(s, d).select("ref_id", "chrom", F.length("pattern").alias("n"))
-    slack = (F.col("na") * 0.1 + 1.0).cast("int")
-    a = p.select(F.col("ref_id").alias("a"), "chrom", F.col("n").alias("na")).withColumn("n", F.explode(F.sequence(F.col("na") - slack, F.col("na") + slack)))
-    a = a.where((F.greatest("na", "n") / F.least("na", "n") - 1) * 100 <= 15)
-    return a.join(p.withColumnRenamed("ref_id", "b"), ["chrom", "n"]).where("a < b").select("a", "b")
+    """Sizes are paired first, their references after; a size of 0 has no ratio."""
+    r = refs(s, d).select(F.col("ref_id").alias("id"), F.col("chrom").alias("cid"), F.length("pattern").alias("n"))
+    slack = lambda n: (F.col(n) * 0.1 + 1.0).cast("int")
+    ratio = F.try_divide(F.greatest("a_n", "b_n"), F.least("a_n", "b_n"))
+    return links.size_pairs(r, slack("n"), (F.abs(F.col("a_n") - F.col("b_n")) <= slack("a_n")) & ((ratio - 1) * 100 <= 15))
 
 
 @query("f11_voting_flanks", sql("SELECT read_id FROM reads WHERE left_flank >= 12 AND right_flank >= 12"))

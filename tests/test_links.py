@@ -180,3 +180,12 @@ def test_size_band_pairs_sizes_first(spark, tmp_path):
     d = parts(spark, tmp_path / "odd", odd_parts())
     got = sorted(map(tuple, registry.queries()["j24_w10_size_band"](spark, d).collect()))
     assert got == by_sql(d, "j24_w10_size_band") and len(got) > 1000
+
+
+def test_size_ratio_pairs_sizes_first(spark, tmp_path):
+    d = parts(spark, tmp_path / "copies", [(i, "red ring", "b", 1) for i in range(600)])
+    df = registry.queries()["f09_f10_size_ratio"](spark, d)
+    assert len(set(map(tuple, df.collect()))) == 600 * 599 // 2 and joined_rows(df) < 100
+    d = parts(spark, tmp_path / "odd", odd_parts())
+    got = sorted(map(tuple, registry.queries()["f09_f10_size_ratio"](spark, d).collect()))
+    assert got == by_sql(d, "f09_f10_size_ratio") and len(got) > 1000
