@@ -24,6 +24,7 @@ NEAR = sorted(((x, y) for y in range(8) for x in range(-7, 9) if y or x > 0), ke
 _TURNED = np.zeros(1 << 15, dtype=np.int64)
 for _k in range(15):
     _TURNED |= (np.arange(1 << 15) >> _k & 1) << (14 - _k)
+_TURNED_LIST = _TURNED.tolist()
 
 
 class Bits:
@@ -42,6 +43,20 @@ class Bits:
 def canonical(lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Codes, first bit lowest, and their lengths by symbol; the only symbol of a code has no bits."""
     n = np.array(lengths, dtype=np.int64)
+    if len(lengths) <= 40:  # symbol by symbol, which is faster for few
+        order = sorted([s for s, k in enumerate(lengths) if k], key=lengths.__getitem__)
+        if len(order) < 2:
+            return np.zeros(len(n), dtype=np.int64), np.zeros(len(n), dtype=np.int64)
+        out, code = [0] * len(lengths), 0
+        for s in order:
+            if code >> 15:
+                break
+            out[s] = _TURNED_LIST[code]
+            code += 1 << (15 - lengths[s])
+        else:
+            if code == 1 << 15:
+                return np.array(out), n
+        raise ValueError("the prefix code isn't complete")
     used = np.flatnonzero(n)
     codes = np.zeros(len(n), dtype=np.int64)
     if len(used) < 2:
@@ -62,7 +77,11 @@ class Code:
     def __init__(self, lengths: list[int]):
         used = [s for s, n in enumerate(lengths) if n]
         if len(used) < 2:
-            self.mask, self.table = 0, [(used[0] if used else 0) << 4]
+            self.mask, self.array = 0, np.array([(used[0] if used else 0) << 4])
+            return
+        if len(lengths) <= 40:
+            self.table = self._table(lengths, used)
+            self.mask = len(self.table) - 1
             return
         codes, n = canonical(lengths)
         longest = int(n.max())
@@ -71,7 +90,39 @@ class Code:
         nth = np.arange(1 << longest) - np.repeat(np.cumsum(each) - each, each)
         table = np.empty(1 << longest, dtype=np.int64)
         table[np.repeat(codes[used], each) | nth << np.repeat(n[used], each)] = np.repeat(np.array(used) << 4 | n[used], each)
-        self.table = table.tolist()
+        self.array = table
+
+    @classmethod
+    def of(cls, first: int, second: int) -> Code:
+        """A code of one symbol, of no bits, or of two."""
+        code = cls([1])
+        low, high = sorted((first, second))
+        if low == high:
+            code.array = np.array([low << 4])
+        else:
+            code.mask, code.array = 1, np.array([low << 4 | 1, high << 4 | 1])
+        return code
+
+    @staticmethod
+    def _table(lengths: list[int], used: list[int]) -> list[int]:
+        """The table symbol by symbol, which is faster for few."""
+        longest = max(lengths)
+        if sum(1 << (longest - lengths[s]) for s in used) != 1 << longest:
+            raise ValueError("the prefix code isn't complete")
+        table, code = [0] * (1 << longest), 0
+        for s in sorted(used, key=lengths.__getitem__):
+            n = lengths[s]
+            table[_TURNED_LIST[code << (15 - longest)] :: 1 << n] = [s << 4 | n] * (1 << (longest - n))
+            code += 1 << (longest - n)
+        return table
+
+    @functools.cached_property
+    def table(self) -> list[int]:
+        return self.array.tolist()
+
+    @functools.cached_property
+    def array(self) -> np.ndarray:
+        return np.array(self.table)
 
     @property
     def only(self) -> int | None:
@@ -92,10 +143,13 @@ def read_code(bits: Bits, symbols: int) -> Code:
         two, wide = bits.read(1), bits.read(1)
         first = bits.read(8 if wide else 1)
         second = bits.read(8) if two else first
-        return Code([int(s in (first, second)) for s in range(max(first, second) + 1)])
+        return Code.of(first, second)
     first = [0] * 19
-    for k in range(4 + bits.read(4)):
-        first[CODE_LENGTH_ORDER[k]] = bits.read(3)
+    some = 4 + bits.read(4)
+    x = bits.read(3 * some)
+    for k in CODE_LENGTH_ORDER[:some]:
+        first[k] = x & 7
+        x >>= 3
     outer = Code(first)
     left = 2 + bits.read(2 + 2 * bits.read(3)) if bits.read(1) else symbols
     lengths, before, pos = [], 8, bits.at
@@ -141,52 +195,70 @@ def place_of(code: int, width: int) -> int:
     return max(1, x + y * width)
 
 
-def read_greens(bits: Bits, green: Code, far: Code, width: int, total: int) -> bytes:
-    """Greens of a picture whose other channels have one value each: symbols of green alone, and back-references."""
-    if green.only is not None and green.only < 256:
-        return bytes([green.only]) * total
-    out, data, pos = bytearray(), bits.data, bits.at
-    table, mask, put, distant, distant_mask, word = green.table, green.mask, out.append, far.table, far.mask, int.from_bytes
-    most = 58 - mask.bit_length()
+#: Extra bits of a prefix symbol, and the least value that it stands for.
+_EXTRA = np.array([0 if c < 4 else (c - 2) >> 1 for c in range(40)])
+_LEAST = np.array([c + 1 if c < 4 else ((2 + (c & 1)) << ((c - 2) >> 1)) + 1 for c in range(40)])
+_EIGHT = np.arange(8)
+
+
+def read_greens(bits: Bits, green: Code, far: Code, width: int, total: int, span: int = 4096) -> bytes:
+    """Greens of a picture whose other channels have one value each: symbols of green alone, and back-references.
+
+    What would stand at each bit of a span of bytes is looked up at once; then the symbols that do stand there follow one from the other.
+    """
+    if green.only is not None:
+        if green.only < 256:
+            return bytes([green.only]) * total
+        raise ValueError("a back-reference leaves the picture")
+    words = np.ndarray((len(bits.data) + 8,), "<i8", bits.data + bytes(16), strides=(1,))
+    out, pos, short = bytearray(), bits.at, green.array.astype(np.int16)
     while (done := len(out)) < total:
-        # 57 bits are at hand: symbols until another may not fit, or a reference stands there; near the end, one symbol
-        x = word(data[pos >> 3 : (pos >> 3) + 8], "little") >> (pos & 7)
-        left = start = most if done < total - 64 else 1
-        while left > 0:
-            t = table[x & mask]
-            if t > 4095:
-                break
-            put(t >> 4)
-            n = t & 15
-            x >>= n
-            left -= n
-        pos += start - left
-        if t < 4096:
-            continue
-        pos += t & 15
-        x = word(data[pos >> 3 : (pos >> 3) + 8], "little") >> (pos & 7)
-        n = (t >> 4) - 256
-        if n > 23:
-            raise ValueError("a colour cache that isn't there")
-        if n > 3:
-            extra = (n - 2) >> 1
-            n = ((2 + (n & 1)) << extra) + (x & ((1 << extra) - 1))
-            x >>= extra
-            pos += extra
-        n += 1
-        t = distant[x & distant_mask]
-        pos += t & 15
-        d = t >> 4
-        if d > 3:
-            x >>= t & 15
-            extra = (d - 2) >> 1
-            d = ((2 + (d & 1)) << extra) + (x & ((1 << extra) - 1))
-            pos += extra
-        d = place_of(d + 1, width) if d < 120 else d - 119
-        at = len(out)
-        if d > at or at + n > total:
-            raise ValueError("a back-reference leaves the picture")
-        out += out[at - d : at - d + n] if d >= n else (out[at - d :] * (n // d + 1))[:n]
+        first = pos >> 3
+        x = (words[first : min(first + span, len(bits.data)), None] >> _EIGHT).ravel()
+        t = short[x & green.mask]
+        size = t & 15
+        then = np.arange(len(t)) + size
+        refs = np.flatnonzero(t > 4095)
+        n, at = (t[refs] >> 4).astype(np.int64) - 256, then[refs]
+        length = _LEAST[n] + (x[refs] >> size[refs] & ((1 << _EXTRA[n]) - 1))
+        at += _EXTRA[n]
+        y = words[np.minimum(first + (at >> 3), len(words) - 1)] >> (at & 7)
+        u = far.array[y & far.mask]
+        d = u >> 4
+        distance = _LEAST[d] + (y >> (u & 15) & ((1 << _EXTRA[d]) - 1))
+        then[refs] = at + (u & 15) + _EXTRA[d]
+        go, here, end = then.data, pos & 7, len(then)
+        met: list[int] = []
+        put = met.append
+        while here < end:
+            put(here)
+            here = go[here]
+        if not met:
+            raise ValueError("the stream ends early")
+        stand = np.array(met)
+        symbols = t[stand] >> 4
+        kth = np.flatnonzero(symbols > 255)
+        which = np.searchsorted(refs, stand[kth])
+        length, distance = length[which], distance[which]
+        share = np.ones(len(stand), dtype=np.int64)
+        share[kth] = length
+        sums = np.cumsum(share)
+        last = int(np.searchsorted(sums, total - done))
+        if last < len(sums):
+            if sums[last] != total - done:
+                raise ValueError("a back-reference leaves the picture")
+            here = int(then[stand[last]])
+            symbols, kth = symbols[: last + 1], kth[kth <= last]
+        plain, begin = symbols.astype(np.uint8).tobytes(), 0
+        for k, n, d in zip(kth.tolist(), length.tolist(), distance.tolist()):
+            out += plain[begin:k]
+            begin, at = k + 1, len(out)
+            d = place_of(d, width) if d < 121 else d - 120
+            if d > at:
+                raise ValueError("a back-reference leaves the picture")
+            out += out[at - d : at - d + n] if d >= n else (out[at - d :] * (n // d + 1))[:n]
+        out += plain[begin:]
+        pos = 8 * first + here
     if pos > bits.end:
         raise ValueError("the stream ends early")
     bits.at = pos
@@ -463,17 +535,16 @@ class Writer:
         self._flush()
         values, sizes = (np.concatenate([p[k] for p in self.parts]) for k in (0, 1))
         end = np.cumsum(sizes)
-        total = -(-int(end[-1]) // 8)
         at = end - sizes
-        byte, shifted = at >> 3, values << (at & 7)
-        # no bit is set twice, so sums of bytes are what they hold
-        out = np.zeros(total, dtype=np.uint8)
-        for k in range(5):
-            part = shifted >> (8 * k) & 255
-            some = np.flatnonzero(part)
-            if len(some):
-                out += np.bincount(byte[some] + k, weights=part[some], minlength=total).astype(np.uint8)
-        return out.tobytes()
+        word, low = at >> 6, (at & 63).astype(np.uint64)
+        values = values.astype(np.uint64)
+        # no bit is set twice, so sums of words are what they hold; as values have 32 bits at most, some value begins in each word, and one at most goes on in the next
+        out = np.zeros((int(end[-1]) >> 6) + 2, dtype="<u8")
+        begin = np.flatnonzero(np.diff(word, prepend=-1))
+        out[word[begin]] = np.add.reduceat(values << low, begin)
+        over = np.flatnonzero((at & 63) + sizes > 64)
+        out[word[over] + 1] += values[over] >> (np.uint64(64) - low[over])
+        return out.tobytes()[: -(-int(end[-1]) // 8)]
 
 
 def code_lengths(counts: np.ndarray, most: int = 15) -> list[int]:
@@ -487,23 +558,31 @@ def code_lengths(counts: np.ndarray, most: int = 15) -> list[int]:
     while True:
         weight = np.maximum(counts[used], floor)
         order = np.argsort(weight, kind="stable")
-        single, n = weight[order].tolist(), len(used)
-        # two queues: single symbols by weight, and pairs in the order they are made
-        pairs: list[int] = []
+        n = len(used)
+        beyond = int(weight.sum()) + 1
+        # two queues: single symbols by weight, and pairs in the order they are made, both followed by more than any weight
+        single, pairs = [*weight[order].tolist(), beyond], [beyond] * n
         parent = [0] * (2 * n - 1)
         i = j = 0
         for k in range(n, 2 * n - 1):
-            total = 0
-            for _ in range(2):
-                if j == len(pairs) or (i < n and single[i] <= pairs[j]):
-                    total += single[i]
-                    parent[i] = k
-                    i += 1
-                else:
-                    total += pairs[j]
-                    parent[n + j] = k
-                    j += 1
-            pairs.append(total)
+            x, y = single[i], pairs[j]
+            if x <= y:
+                parent[i] = k
+                i += 1
+                total, x = x, single[i]
+            else:
+                parent[n + j] = k
+                j += 1
+                total, y = y, pairs[j]
+            if x <= y:
+                parent[i] = k
+                i += 1
+                total += x
+            else:
+                parent[n + j] = k
+                j += 1
+                total += y
+            pairs[k - n] = total
         depth = [0] * (2 * n - 1)
         for k in range(2 * n - 3, -1, -1):
             depth[k] = depth[parent[k]] + 1
@@ -524,20 +603,22 @@ def write_code(w: Writer, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
         for s in used:
             w.put(s, 8)
         return canonical([1 if s in used else 0 for s in range(len(lengths))])
-    tokens: list[tuple[int, int, int]] = []
+    tokens: list[int] = []  # symbol, bits of its run's length above 8, their number above 16
     n = np.array(lengths)
-    edge = np.flatnonzero(np.diff(n)) + 1
+    edges = [0, *(np.flatnonzero(n[1:] != n[:-1]) + 1).tolist()]
     before = 8
-    for value, run in zip(n[np.append(0, edge)].tolist(), np.diff(np.concatenate(([0], edge, [len(n)]))).tolist()):
+    for start, stop in zip(edges, [*edges[1:], len(lengths)]):
+        value, run = lengths[start], stop - start
         if value and value != before:
-            tokens.append((value, 0, 0))
+            tokens.append(value)
             run, before = run - 1, value
         while run > 2:
             some = min(run, 6 if value else 138)
-            tokens.append((16, some - 3, 2) if value else (18, some - 11, 7) if some >= 11 else (17, some - 3, 3))
+            tokens.append(16 | some - 3 << 8 | 2 << 16 if value else 18 | some - 11 << 8 | 7 << 16 if some >= 11 else 17 | some - 3 << 8 | 3 << 16)
             run -= some
-        tokens += [(value, 0, 0)] * run
-    t, extra, wide = np.array(tokens, dtype=np.int64).T
+        tokens += [value] * run
+    token = np.array(tokens, dtype=np.int64)
+    t, extra, wide = token & 255, token >> 8 & 255, token >> 16
     counts = np.bincount(t, minlength=19)
     if (counts > 0).sum() == 1:
         counts[0 if not counts[0] else 1] = 1
@@ -582,15 +663,20 @@ def packed(pixels: np.ndarray) -> np.ndarray:
 
 def references_of(p: np.ndarray, least: int = 3) -> list[tuple[int, int, int]]:
     """(place, length, distance) of runs of `least` values or more that stand before, greedily, by the nearest earlier place of each run's start."""
+    return list(zip(*[x.tolist() for x in reference_columns(p, least)]))
+
+
+def reference_columns(p: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """references_of, a column each."""
     m = len(p) - least + 1
+    none = np.zeros(0, dtype=np.int64)
     if m < 2:
-        return []
-    q = p.astype(np.uint64)
-    key = q[:m]
+        return none, none, none
     if p.dtype == np.uint8 and least <= 6:
-        for k in range(1, least):
-            key = key << np.uint64(8) | q[k : k + m]
+        key = np.ndarray((m,), "<u8", p.tobytes() + bytes(8), strides=(1,)) & np.uint64((1 << 8 * least) - 1)
     else:
+        q = p.astype(np.uint64)
+        key = q[:m]
         for k in range(1, least):
             key = key * np.uint64(0x9E3779B97F4A7C15) ^ q[k : k + m]
         key = key * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(16)
@@ -599,16 +685,19 @@ def references_of(p: np.ndarray, least: int = 3) -> list[tuple[int, int, int]]:
     for k in range(0 if p.dtype == np.uint8 and least <= 6 else least):  # keys that are hashes may agree by chance
         at = at[p[at + k] == p[before[at] + k]]
     if not len(at):
-        return []
+        return none, none, none
     d = at - before[at]
-    last = np.append(np.flatnonzero((np.diff(at) != 1) | (np.diff(d) != 0)), len(at) - 1)
-    n = np.minimum(np.repeat(at[last], np.diff(np.append(-1, last))) - at + least, 4096)
-    out, end = [], 0
-    for x in zip(at.tolist(), n.tolist(), d.tolist()):
-        if x[0] >= end:
-            out.append(x)
-            end = x[0] + x[1]
-    return out
+    ends = np.ones(len(at), dtype=bool)
+    ends[:-1] = (at[1:] - at[:-1] != 1) | (d[1:] != d[:-1])
+    last = np.flatnonzero(ends)
+    runs = last + 1
+    runs[1:] -= runs[:-1].copy()
+    n = np.minimum(np.repeat(at[last], runs) - at + least, 4096)
+    go, k, taken = np.searchsorted(at, at + n).data, 0, []
+    while k < len(at):
+        taken.append(k)
+        k = go[k]
+    return at[taken], n[taken], d[taken]
 
 
 def cached(p: np.ndarray, cache_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -625,24 +714,26 @@ def cost(counts: np.ndarray) -> float:
 
 
 @functools.lru_cache(64)
-def _near(width: int) -> dict[int, int]:
-    """Codes of near distances, the lowest of each."""
-    return {max(1, x + y * width): k + 1 for k, (x, y) in reversed(list(enumerate(NEAR)))}
+def _near(width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Near distances in order, and the lowest code of each."""
+    places, first = np.unique([place_of(c, width) for c in range(1, 121)], return_index=True)
+    return places, first + 1
 
 
 def near_codes(d: np.ndarray, width: int) -> np.ndarray:
     """Distance codes of distances."""
-    near = _near(width)
-    return np.array([near.get(x, x + 120) for x in d.tolist()], dtype=np.int64)
+    places, codes = _near(width)
+    k = np.minimum(np.searchsorted(places, d), len(places) - 1)
+    return np.where(places[k] == d, codes[k], d + 120)
 
 
 def write_greens(w: Writer, green: np.ndarray, width: int) -> None:
     """The outer picture of opaque pixels whose red and blue are 0: symbols of green and back-references."""
     w.put(0, 2)  # no cache, one group of codes
-    place, n, d = np.array(references_of(green, 6), dtype=np.int64).reshape(-1, 3).T
+    place, n, d = reference_columns(green, 6)
     open_ = np.bincount(place, minlength=len(green) + 1) - np.bincount(place + n, minlength=len(green) + 1)
     at = np.flatnonzero(np.cumsum(open_)[:-1] == 0)
-    (ns, nv, nb), (ds, dv, db) = prefix_of(n), prefix_of(near_codes(d, width))
+    (ns, ds), (nv, dv), (nb, db) = (x.reshape(2, -1) for x in prefix_of(np.concatenate((n, near_codes(d, width)))))
     symbols = green[at].astype(np.int64)
     # short codes make small tables for the reader
     code, size = write_code(w, code_lengths(np.bincount(np.concatenate((symbols, 256 + ns)), minlength=280), 10))

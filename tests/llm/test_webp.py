@@ -134,3 +134,39 @@ def test_damaged_files_are_told():
         webp.decode(b"RIFFxxxxWEBPVP8 ")
     with pytest.raises(ValueError):
         webp.decode(webp.encode(picture(np.random.default_rng(0), 8, 8))[:40])
+
+
+@pytest.mark.parametrize("span", [1, 3, 50, 4096])
+def test_greens_are_read_in_spans(span):
+    """Spans of any size give the same greens and end, also where other bits follow; too few bits and places before the picture are errors."""
+    rng = np.random.default_rng(span)
+    words = ["".join(rng.choice(list("abcdefgh"), rng.integers(2, 9))) for _ in range(60)]
+    grey = np.frombuffer(" ".join(rng.choice(words, 700)).encode().ljust(20 * 192)[: 20 * 192], dtype=np.uint8)
+    for flat in (grey, np.full(192, 7, dtype=np.uint8), np.tile(np.array([1, 2, 3], dtype=np.uint8), 64), rng.integers(0, 256, 1920, dtype=np.uint8)):
+        w = webp.Writer()
+        webp.write_greens(w, flat, 192)
+        w.put(0b1011, 4)
+        stored = w.bytes()
+        for data in (stored, stored + b"\xff" * 40):
+            bits = webp.Bits(data)
+            assert bits.read(2) == 0
+            green, *_, far = [webp.read_code(bits, n) for n in (280, 256, 256, 256, 40)]
+            at = bits.at
+            assert webp.read_greens(bits, green, far, 192, len(flat), span) == flat.tobytes() and bits.read(4) == 0b1011
+            bits.at = at
+            with pytest.raises(ValueError):
+                webp.read_greens(webp.Bits(data[: at // 8]), green, far, 192, len(flat), span) if green.only is None else bits.read(8 * len(data))
+
+
+def test_a_text_costs_few_calls():
+    """Python calls a text, which cost nearly all of its time: fewer than a reader and writer that go symbol by symbol make."""
+    import cProfile
+    import pstats
+
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefghijklmnoprstuvw"), rng.integers(2, 9))) for _ in range(300)]
+    text = " ".join(rng.choice(words, 450))
+    media.read_media(media.to_media(text)[0])
+    p = cProfile.Profile()
+    p.runcall(lambda: media.read_media(media.to_media(text)[0]))
+    assert pstats.Stats(p).total_calls < 3700
