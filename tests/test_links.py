@@ -189,3 +189,11 @@ def test_size_ratio_pairs_sizes_first(spark, tmp_path):
     d = parts(spark, tmp_path / "odd", odd_parts())
     got = sorted(map(tuple, registry.queries()["f09_f10_size_ratio"](spark, d).collect()))
     assert got == by_sql(d, "f09_f10_size_ratio") and len(got) > 1000
+
+
+def test_indistinguishable_query_builds_profiles_once(spark, monkeypatch):
+    """Profiles and groups come from stored tables, so the joins over them don't build them anew."""
+    plans = []
+    monkeypatch.setattr(links, "indistinguishable", lambda *frames: plans.extend(f._jdf.queryExecution().executedPlan().toString() for f in frames))
+    registry.queries()["d20_indistinguishable"](spark, DATA)
+    assert len(plans) == 3 and not any("EvalPython" in p or "Join" in p for p in plans)
